@@ -140,3 +140,173 @@ def q_pairs_large_question(spark, sf):
 def q_pairs_orders(spark, sf):
     """Many small questions: lines of each order."""
     return P.sample_pairs(FX.order_lines(spark, sf))
+
+
+# ---------------------------------------------------------------- prompts and filters
+
+from prefdata.functions import text as TX  # noqa: E402
+from prefdata.functions.tokens import TOKEN_PATTERN, token_count, tokens  # noqa: E402
+from prefdata.operators import prompts as PR  # noqa: E402
+from prefdata.operators import vocab as V  # noqa: E402
+
+SQL_Q = "'Question: '"
+SQL_A = "chr(10) || chr(10) || 'Answer: '"
+# Caller-supplied prefixes for the prefixed-prompt query (outermost first).
+PREFIXES = ("|TRAINING| \n", "Answer in one short paragraph. \n\n")
+
+
+def sql_ntok(x: str) -> str:
+    return f"CAST(len(regexp_extract_all({x}, '{TOKEN_PATTERN}')) AS INTEGER)"
+
+
+def sql_clean(x: str) -> str:
+    return (f"regexp_replace(regexp_replace({x}, {TX.sql_literal(TX.BLANK_LINES_PATTERN)}, chr(10) || chr(10), 'g'), "
+            f"{TX.sql_literal(TX.STRIP_PATTERN)}, '', 'g')")
+
+
+def _turns(spark, sf):
+    return FX.qa_turns(spark, sf)
+
+
+@register("prompt_question", _with(FX.SQL_QA_TURNS) +
+          f"SELECT conv_id, turn, {SQL_Q} || question || {SQL_A} AS query FROM qa_turns")
+def q_prompt_question(spark, sf):
+    return _turns(spark, sf).select("conv_id", "turn", PR.question_prompt("question").alias("query"))
+
+
+@register("prompt_qa", _with(FX.SQL_QA_TURNS) +
+          f"SELECT conv_id, turn, {SQL_Q} || question || {SQL_A} || answer AS text FROM qa_turns")
+def q_prompt_qa(spark, sf):
+    return _turns(spark, sf).select("conv_id", "turn", PR.qa_text("question", "answer").alias("text"))
+
+
+@register("prompt_prefixed", _with(FX.SQL_QA_TURNS) +
+          f"SELECT conv_id, turn, {' || '.join(TX.sql_literal(p) for p in PREFIXES)} || {SQL_Q} || question || {SQL_A}"
+          " AS query FROM qa_turns")
+def q_prompt_prefixed(spark, sf):
+    return _turns(spark, sf).select(
+        "conv_id", "turn", PR.add_prefixes(PR.question_prompt("question"), PREFIXES).alias("query"))
+
+
+@register("query_response", _with(FX.SQL_QA_TURNS) +
+          f"SELECT conv_id, turn, {SQL_Q} || question || {SQL_A} || answer AS text FROM qa_turns")
+def q_query_response(spark, sf):
+    t = _turns(spark, sf)
+    return t.select("conv_id", "turn", PR.query_response(PR.question_prompt("question"), "answer").alias("text"))
+
+
+@register("filter_strict", _with(FX.SQL_QA_TURNS) + f"""SELECT conv_id, turn, n_tokens FROM (
+  SELECT conv_id, turn, {sql_ntok(f"{SQL_Q} || question || {SQL_A}")} AS n_tokens FROM qa_turns) WHERE n_tokens < 512""")
+def q_filter_strict(spark, sf):
+    t = _turns(spark, sf).select("conv_id", "turn", PR.question_prompt("question").alias("query"))
+    return PR.filter_shorter(t, "query", 512, out="n_tokens").select("conv_id", "turn", "n_tokens")
+
+
+def _qa_pairs_with_text(spark, sf):
+    qa = _qa_src(spark, sf)
+    questions = qa.select("qid", "question").dropDuplicates(["qid"])
+    ids = P.sample_pairs(qa)
+    out = P.attach_texts(ids, qa, questions, clean=lambda c: TX.strip_text(TX.collapse_blank_lines(c)))
+    return out.withColumn("question", TX.strip_text(TX.collapse_blank_lines("question")))
+
+
+SQL_QA_PAIRS_TEXT = _with(FX.SQL_QA_ANSWERS, QA_SRC, sql_sample_pairs("qa_src")) + f""",
+qtext AS (SELECT DISTINCT qid, question FROM qa_answers),
+atext AS (SELECT aid, text FROM qa_answers),
+pairs_text AS (
+  SELECT s.qid, s.pair_no, s.aid_j, s.aid_k, {sql_clean('q.question')} AS question,
+         {sql_clean('j.text')} AS response_j, {sql_clean('k.text')} AS response_k
+  FROM sampled s JOIN qtext q ON q.qid = s.qid JOIN atext j ON j.aid = s.aid_j JOIN atext k ON k.aid = s.aid_k)
+"""
+
+
+@register("pairs_with_text", SQL_QA_PAIRS_TEXT + "SELECT * FROM pairs_text")
+def q_pairs_with_text(spark, sf):
+    return _qa_pairs_with_text(spark, sf).select(
+        "qid", "pair_no", "aid_j", "aid_k", "question", "response_j", "response_k")
+
+
+@register("filter_two_sided", SQL_QA_PAIRS_TEXT + f"""SELECT * FROM (
+  SELECT qid, pair_no, {sql_ntok(f"{SQL_Q} || question || {SQL_A} || response_j")} AS n_j,
+         {sql_ntok(f"{SQL_Q} || question || {SQL_A} || response_k")} AS n_k FROM pairs_text)
+WHERE n_j <= 512 AND n_k <= 512""")
+def q_filter_two_sided(spark, sf):
+    p = _qa_pairs_with_text(spark, sf)
+    p = p.select("qid", "pair_no", PR.qa_text("question", "response_j").alias("tj"),
+                 PR.qa_text("question", "response_k").alias("tk"))
+    p = PR.filter_both_within(p, "tj", "tk", 512)
+    return p.select("qid", "pair_no", token_count("tj").alias("n_j"), token_count("tk").alias("n_k"))
+
+
+TRUNCATE_AT = 2048
+
+
+@register("truncate_ids", _with(FX.SQL_DOC_TOKENS) + f"""SELECT doc_id, CAST(len(t) AS INTEGER) AS n_ids,
+  CASE WHEN len(t) = 0 THEN NULL ELSE t[len(t)] END AS last_token
+FROM (SELECT doc_id, list_slice(toks, 1, {TRUNCATE_AT}) AS t FROM doc_tokens)""")
+def q_truncate_ids(spark, sf):
+    d = FX.doc_tokens(spark, sf).select("doc_id", PR.truncate_ids("toks", TRUNCATE_AT).alias("t"))
+    return d.select("doc_id", F.size("t").alias("n_ids"), F.get("t", F.size("t") - 1).alias("last_token"))
+
+
+# ---------------------------------------------------------------- vocabulary, encode, decode
+
+SQL_VOCAB = f"""vocab AS (
+  SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 2 AS INTEGER) AS id, n
+  FROM (SELECT t AS token, count(*) AS n FROM (SELECT unnest(toks) AS t FROM doc_tokens) GROUP BY 1)
+  QUALIFY row_number() OVER (ORDER BY n DESC, token) <= {V.MAX_VOCAB - 3})"""
+SQL_DOC_UNNEST = """u AS (SELECT doc_id, unnest(toks) AS t, unnest(range(len(toks))) AS pos FROM doc_tokens)"""
+
+
+def _docs_vocab(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return docs, V.build_vocab(docs, "text")
+
+
+@register("vocab", _with(FX.SQL_DOC_TOKENS, SQL_VOCAB) + "SELECT token, id, n FROM vocab")
+def q_vocab(spark, sf):
+    return _docs_vocab(spark, sf)[1]
+
+
+@register("encode", _with(FX.SQL_DOC_TOKENS, SQL_VOCAB, SQL_DOC_UNNEST) + """
+SELECT d.doc_id, CAST(coalesce(x.n_ids, 0) AS INTEGER) AS n_ids, coalesce(x.ids, '') AS ids
+FROM documents d LEFT JOIN (
+  SELECT u.doc_id, count(*) AS n_ids, string_agg(CAST(coalesce(v.id, 2) AS VARCHAR), ',' ORDER BY u.pos) AS ids
+  FROM u LEFT JOIN vocab v ON v.token = u.t GROUP BY u.doc_id) x ON x.doc_id = d.doc_id""")
+def q_encode(spark, sf):
+    docs, vocab = _docs_vocab(spark, sf)
+    enc = docs.select("doc_id", V.encoder(vocab)("text").alias("ids"))
+    return enc.select("doc_id", F.size("ids").alias("n_ids"), F.array_join("ids", ",").alias("ids"))
+
+
+@register("decode", _with(FX.SQL_DOC_TOKENS, SQL_VOCAB, SQL_DOC_UNNEST) + """
+SELECT d.doc_id, coalesce(x.text, '') AS text
+FROM documents d LEFT JOIN (
+  SELECT u.doc_id, string_agg(v.token, ' ' ORDER BY u.pos) AS text
+  FROM u JOIN vocab v ON v.token = u.t GROUP BY u.doc_id) x ON x.doc_id = d.doc_id""")
+def q_decode(spark, sf):
+    docs, vocab = _docs_vocab(spark, sf)
+    enc = docs.select("doc_id", V.encoder(vocab)("text").alias("ids"))
+    return enc.select("doc_id", V.decoder(vocab)("ids").alias("text"))
+
+
+RATIO_ROWS = 400
+
+
+@register("chars_per_token", f"""WITH o AS ({sql_positions('documents', 'doc_id')})
+SELECT count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars,
+       CAST(sum({sql_ntok('text')}) AS BIGINT) AS n_tokens,
+       CAST(sum(length(text)) AS DOUBLE) / CAST(sum({sql_ntok('text')}) AS DOUBLE) AS ratio
+FROM o WHERE pos < {RATIO_ROWS}""")
+def q_chars_per_token(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return V.chars_per_token(S.first_n(docs, "doc_id", RATIO_ROWS, SEED), "text")
+
+
+@register("append_eos", _with(FX.SQL_DOC_TOKENS) +
+          "SELECT doc_id, CAST(len(toks) + 1 AS INTEGER) AS n_ids, 1 AS last_id FROM doc_tokens")
+def q_append_eos(spark, sf):
+    docs, vocab = _docs_vocab(spark, sf)
+    ids = V.with_eos(V.encoder(vocab)("text"))
+    d = docs.select("doc_id", ids.alias("ids"))
+    return d.select("doc_id", F.size("ids").alias("n_ids"), F.element_at("ids", -1).alias("last_id"))
