@@ -310,3 +310,260 @@ def q_append_eos(spark, sf):
     ids = V.with_eos(V.encoder(vocab)("text"))
     d = docs.select("doc_id", ids.alias("ids"))
     return d.select("doc_id", F.size("ids").alias("n_ids"), F.element_at("ids", -1).alias("last_id"))
+
+
+# ---------------------------------------------------------------- packing
+
+from prefdata.functions.tokens import EOS_TOKEN, PAD_TOKEN  # noqa: E402
+from prefdata.operators import batches as B  # noqa: E402
+from prefdata.operators import metrics as M  # noqa: E402
+from prefdata.operators import packing as PK  # noqa: E402
+
+PACK_L = 128
+PACK_BUDGET = f"({PACK_L} * {PK.CHARS_PER_TOKEN} * {PK.NUM_OF_SEQUENCES})"
+
+
+def _doc_toks(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return d, d.select("doc_id", F.concat(tokens("text"), F.array(F.lit(EOS_TOKEN))).alias("toks"))
+
+
+def sql_pack(epochs: int = 1) -> str:
+    ekey = "epoch, doc_id" if epochs > 1 else "doc_id"
+    src = (f"(SELECT d.*, e AS epoch FROM documents d, range({epochs}) t(e))" if epochs > 1 else "documents")
+    return f"""WITH ns AS (SELECT CAST(floor({epochs} * sum(length(text)) / {PACK_BUDGET}) AS BIGINT) + 1 AS n FROM documents),
+dt AS (SELECT {ekey}, list_append(regexp_extract_all(text, '{TOKEN_PATTERN}'), '{EOS_TOKEN}') AS toks,
+              {sql_h(SEED, *ekey.split(', '))} AS o FROM {src}),
+s AS (SELECT *, CAST({sql_hnum('o')} % (SELECT n FROM ns) AS INTEGER) AS shard, len(toks) AS sz FROM dt),
+w AS (SELECT *, CAST(coalesce(sum(sz) OVER (PARTITION BY shard ORDER BY o, {ekey}
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS off FROM s),
+c AS (SELECT shard, off, sz, toks, unnest(range(off // {PACK_L}, (off + sz - 1) // {PACK_L} + 1)) AS chunk FROM w),
+p AS (SELECT shard, chunk, greatest(chunk * {PACK_L}, off) AS lo,
+             list_slice(toks, greatest(chunk * {PACK_L}, off) - off + 1, least((chunk + 1) * {PACK_L}, off + sz) - off) AS piece
+      FROM c),
+blocks AS (SELECT shard, CAST(chunk AS BIGINT) AS chunk, flatten(list(piece ORDER BY lo)) AS ids
+           FROM p GROUP BY shard, chunk HAVING len(flatten(list(piece ORDER BY lo))) = {PACK_L})
+"""
+
+
+def _blocks(spark, sf, epochs: int = 1):
+    d, dt = _doc_toks(spark, sf)
+    keys = ["doc_id"]
+    if epochs > 1:
+        dt, keys = PK.repeat_epochs(dt, epochs), ["epoch", "doc_id"]
+    n = PK.buffer_count(epochs * PK.total_chars(d, "text"), PACK_L)
+    return PK.pack(dt, keys, "toks", PACK_L, n, SEED)
+
+
+@register("pack_blocks", sql_pack() + "SELECT shard, chunk, array_to_string(ids, ' ') AS block FROM blocks")
+def q_pack_blocks(spark, sf):
+    return _blocks(spark, sf).select("shard", "chunk", F.array_join("input_ids", " ").alias("block"))
+
+
+@register("pack_shuffled", sql_pack() + f"""SELECT shard, chunk,
+  CAST(row_number() OVER (PARTITION BY shard ORDER BY {sql_h(SEED, 'shard', 'chunk')}, chunk) - 1 AS INTEGER) AS pos
+FROM blocks""")
+def q_pack_shuffled(spark, sf):
+    return PK.shuffle_blocks(_blocks(spark, sf), SEED).select("shard", "chunk", "pos")
+
+
+@register("repeat_epochs", sql_pack(2) + "SELECT shard, chunk, array_to_string(ids, ' ') AS block FROM blocks")
+def q_repeat_epochs(spark, sf):
+    return _blocks(spark, sf, 2).select("shard", "chunk", F.array_join("input_ids", " ").alias("block"))
+
+
+# ---------------------------------------------------------------- batches and padding
+
+BATCH = 32
+SHARD_ROWS = 64
+N_FIRST_BATCHES = 3
+PAD_TO = 512
+PAD_MULTIPLE = 8
+
+
+def sql_batches(src: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    return f"""bn AS (SELECT count(*) // {SHARD_ROWS} + 1 AS n FROM {src}),
+bo AS (SELECT *, {sql_h(SEED, *keys)} AS o FROM {src}),
+bs AS (SELECT *, CAST({sql_hnum('o')} % (SELECT n FROM bn) AS INTEGER) AS shard FROM bo),
+br AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY o, {k}) - 1 AS r FROM bs),
+batched AS (SELECT * EXCLUDE (o, r), CAST(r // {BATCH} AS INTEGER) AS batch_id, CAST(r % {BATCH} AS INTEGER) AS pos FROM br)"""
+
+
+def _batched_turns(spark, sf):
+    t = _turns(spark, sf)
+    n = B.shard_count(t, SHARD_ROWS)
+    return B.assign_batches(t, ["conv_id", "turn"], BATCH, n, SEED), n
+
+
+@register("batches", _with(FX.SQL_QA_TURNS, sql_batches("qa_turns", ["conv_id", "turn"])) +
+          "SELECT conv_id, turn, shard, batch_id, pos FROM batched")
+def q_batches(spark, sf):
+    return _batched_turns(spark, sf)[0].select("conv_id", "turn", "shard", "batch_id", "pos")
+
+
+@register("collate_lists", _with(FX.SQL_QA_TURNS, sql_batches("qa_turns", ["conv_id", "turn"])) + """
+SELECT shard, batch_id, CAST(count(*) AS INTEGER) AS n,
+       string_agg(CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR), ',' ORDER BY pos) AS keys
+FROM batched GROUP BY shard, batch_id""")
+def q_collate_lists(spark, sf):
+    c = B.collate(_batched_turns(spark, sf)[0], ["conv_id", "turn"])
+    keys = F.array_join(F.zip_with("conv_id", "turn", lambda a, b: F.concat_ws(":", a.cast("string"), b.cast("string"))), ",")
+    return c.select("shard", "batch_id", "n", keys.alias("keys"))
+
+
+@register("first_batches", _with(FX.SQL_QA_TURNS, sql_batches("qa_turns", ["conv_id", "turn"])) +
+          f"SELECT conv_id, turn, shard, batch_id FROM batched WHERE batch_id * (SELECT n FROM bn) + shard < {N_FIRST_BATCHES}")
+def q_first_batches(spark, sf):
+    b, n = _batched_turns(spark, sf)
+    return B.first_batches(b, N_FIRST_BATCHES, n).select("conv_id", "turn", "shard", "batch_id")
+
+
+@register("length_draw", _with(FX.SQL_QA_TURNS) + f"""SELECT conv_id, turn,
+  CAST({B.MIN_GEN_LENGTH} + {sql_hnum(sql_h(SEED, "'len'", 'conv_id', 'turn'))} % {B.MAX_GEN_LENGTH - B.MIN_GEN_LENGTH} AS INTEGER)
+  AS gen_len FROM qa_turns""")
+def q_length_draw(spark, sf):
+    return _turns(spark, sf).select("conv_id", "turn", B.length_draw(["conv_id", "turn"], SEED).alias("gen_len"))
+
+
+def sql_padded(toks: str, n: str, width: str) -> str:
+    pads = f"list_transform(range(greatest({width} - {n}, 0)), lambda x: '{PAD_TOKEN}')"
+    mask = (f"list_concat(list_transform(range({n}), lambda x: '1'), "
+            f"list_transform(range(greatest({width} - {n}, 0)), lambda x: '0'))")
+    return (f"CAST(greatest({n}, {width}) AS INTEGER) AS width, CAST(greatest({width} - {n}, 0) AS INTEGER) AS n_pad, "
+            f"md5(array_to_string(list_concat({toks}, {pads}), ' ')) AS padded_md5, "
+            f"md5(array_to_string({mask}, '')) AS mask_md5")
+
+
+def _pad_out(df, ids="toks"):
+    return df.select("conv_id", "turn", F.size("input_ids").alias("width"),
+                     (F.size("input_ids") - F.size(ids)).alias("n_pad"),
+                     F.md5(F.array_join("input_ids", " ")).alias("padded_md5"),
+                     F.md5(F.array_join("attention_mask", "")).alias("mask_md5"))
+
+
+SQL_TURN_TOKS = f"""tt AS (SELECT conv_id, turn, regexp_extract_all({SQL_Q} || question || {SQL_A}, '{TOKEN_PATTERN}') AS toks
+  FROM qa_turns)"""
+
+
+@register("pad_max", _with(FX.SQL_QA_TURNS, SQL_TURN_TOKS) +
+          f"SELECT conv_id, turn, {sql_padded('toks', 'len(toks)', str(PAD_TO))} FROM tt")
+def q_pad_max(spark, sf):
+    t = _turns(spark, sf).select("conv_id", "turn", tokens(PR.question_prompt("question")).alias("toks"))
+    t = t.withColumn("shard", F.lit(0)).withColumn("batch_id", F.lit(0))
+    return _pad_out(B.pad_batch(t, "toks", PAD_TOKEN, max_length=PAD_TO))
+
+
+def _batched_turn_toks(spark, sf):
+    b, _ = _batched_turns(spark, sf)
+    return b.withColumn("toks", tokens(PR.question_prompt("question")))
+
+
+def sql_pad_batch(multiple: int | None) -> str:
+    width = "mx" if not multiple else f"((mx + {multiple - 1}) // {multiple}) * {multiple}"
+    return _with(FX.SQL_QA_TURNS, sql_batches("qa_turns", ["conv_id", "turn"])) + f""",
+tt AS (SELECT conv_id, turn, shard, batch_id, regexp_extract_all({SQL_Q} || question || {SQL_A}, '{TOKEN_PATTERN}') AS toks
+       FROM batched),
+tw AS (SELECT *, max(len(toks)) OVER (PARTITION BY shard, batch_id) AS mx FROM tt)
+SELECT conv_id, turn, {sql_padded('toks', 'len(toks)', width)} FROM tw"""
+
+
+@register("pad_longest", sql_pad_batch(None))
+def q_pad_longest(spark, sf):
+    return _pad_out(B.pad_batch(_batched_turn_toks(spark, sf), "toks", PAD_TOKEN))
+
+
+@register("pad_multiple", sql_pad_batch(PAD_MULTIPLE))
+def q_pad_multiple(spark, sf):
+    return _pad_out(B.pad_batch(_batched_turn_toks(spark, sf), "toks", PAD_TOKEN, multiple=PAD_MULTIPLE))
+
+
+@register("reward_batches", SQL_QA_PAIRS_TEXT + "," + sql_batches("pairs_text", ["qid", "pair_no"]) + f""",
+rt AS (SELECT shard, batch_id, {sql_ntok(f"{SQL_Q} || question || {SQL_A} || response_j")} AS n_j,
+              {sql_ntok(f"{SQL_Q} || question || {SQL_A} || response_k")} AS n_k FROM batched)
+SELECT shard, batch_id, CAST(count(*) AS INTEGER) AS n,
+       CAST(((max(n_j) + {PAD_MULTIPLE - 1}) // {PAD_MULTIPLE}) * {PAD_MULTIPLE} AS INTEGER) AS width_j,
+       CAST(((max(n_k) + {PAD_MULTIPLE - 1}) // {PAD_MULTIPLE}) * {PAD_MULTIPLE} AS INTEGER) AS width_k,
+       true AS return_loss
+FROM rt GROUP BY shard, batch_id""")
+def q_reward_batches(spark, sf):
+    p = _qa_pairs_with_text(spark, sf)
+    n = B.shard_count(p, SHARD_ROWS)
+    b = B.assign_batches(p, ["qid", "pair_no"], BATCH, n, SEED)
+    b = b.withColumn("ids_j", tokens(PR.qa_text("question", "response_j"))).withColumn(
+        "ids_k", tokens(PR.qa_text("question", "response_k")))
+    b = B.pad_batch(b, "ids_j", PAD_TOKEN, multiple=PAD_MULTIPLE, prefix="j_")
+    b = B.pad_batch(b, "ids_k", PAD_TOKEN, multiple=PAD_MULTIPLE, prefix="k_")
+    b = PR.with_return_loss(b)
+    return b.groupBy("shard", "batch_id").agg(
+        F.count(F.lit(1)).cast("int").alias("n"), F.max(F.size("j_input_ids")).alias("width_j"),
+        F.max(F.size("k_input_ids")).alias("width_k"), F.first("return_loss").alias("return_loss"))
+
+
+# ---------------------------------------------------------------- scoring and metrics
+
+REWARD_BASELINE = 2.0
+
+
+def sql_score(x: str) -> str:
+    return f"CAST(length({x}) AS DOUBLE) / (1 + len(regexp_extract_all({x}, '{TOKEN_PATTERN}')))"
+
+
+@register("score_texts", f"SELECT conv_id, turn, {sql_score('text')} AS score FROM conversations")
+def q_score_texts(spark, sf):
+    c = table(spark, sf, "conversations")
+    return c.select("conv_id", "turn", M.scorer()(F.col("text")).alias("score"))
+
+
+@register("score_pairs", SQL_QA_PAIRS_TEXT + f"""SELECT qid, pair_no,
+  {sql_score(f"{SQL_Q} || question || {SQL_A} || response_j")} AS r_j,
+  {sql_score(f"{SQL_Q} || question || {SQL_A} || response_k")} AS r_k FROM pairs_text""")
+def q_score_pairs(spark, sf):
+    p = _qa_pairs_with_text(spark, sf)
+    p = p.select("qid", "pair_no", PR.qa_text("question", "response_j").alias("tj"),
+                 PR.qa_text("question", "response_k").alias("tk"))
+    return M.score_pair(p, "tj", "tk").select("qid", "pair_no", "r_j", "r_k")
+
+
+SQL_TURN_REWARD = f"""rw AS (SELECT *, {sql_score(f"{SQL_Q} || question || {SQL_A} || answer")} - {REWARD_BASELINE} AS reward
+  FROM batched)"""
+
+
+@register("reward_baseline", _with(FX.SQL_QA_TURNS) + f"""SELECT conv_id, turn,
+  {sql_score(f"{SQL_Q} || question || {SQL_A} || answer")} - {REWARD_BASELINE} AS reward FROM qa_turns""")
+def q_reward_baseline(spark, sf):
+    t = _turns(spark, sf)
+    s = M.scorer()(PR.query_response(PR.question_prompt("question"), "answer"))
+    return t.select("conv_id", "turn", M.baseline_shift(s, REWARD_BASELINE).alias("reward"))
+
+
+@register("reward_log", _with(FX.SQL_QA_TURNS, sql_batches("qa_turns", ["conv_id", "turn"]), SQL_TURN_REWARD) + """
+SELECT shard, batch_id, count(*) AS n, round(avg(reward), 6) AS mean, round(stddev_pop(reward), 6) AS std,
+       round(min(reward), 6) AS min, round(max(reward), 6) AS max FROM rw GROUP BY shard, batch_id""")
+def q_reward_log(spark, sf):
+    b, _ = _batched_turns(spark, sf)
+    s = M.scorer()(PR.query_response(PR.question_prompt("question"), "answer"))
+    b = b.withColumn("reward", M.baseline_shift(s, REWARD_BASELINE))
+    return M.reward_stats(b, "reward", ["shard", "batch_id"])
+
+
+SQL_LOSS = "round(avg(greatest(-(r_j - r_k), 0.0) + ln(1.0 + exp(-abs(r_j - r_k)))), 6)"
+SQL_ACC = "round(avg(CAST(r_j >= r_k AS DOUBLE)), 6)"
+EVAL_EVERY = 500
+
+
+@register("pair_logloss", _with(FX.SQL_SCORES) + f"SELECT count(*) AS n, {SQL_LOSS} AS loss FROM scores")
+def q_pair_logloss(spark, sf):
+    return M.pair_metrics(FX.scores(spark, sf)).select("n", "loss")
+
+
+@register("pair_accuracy", _with(FX.SQL_SCORES) + f"SELECT count(*) AS n, {SQL_ACC} AS accuracy FROM scores")
+def q_pair_accuracy(spark, sf):
+    return M.pair_metrics(FX.scores(spark, sf)).select("n", "accuracy")
+
+
+@register("eval_by_step", _with(FX.SQL_SCORES) + f"""SELECT {EVAL_EVERY} * (1 + pair_id % 10) AS step, count(*) AS n,
+  {SQL_LOSS} AS loss, {SQL_ACC} AS accuracy FROM scores GROUP BY 1""")
+def q_eval_by_step(spark, sf):
+    s = FX.scores(spark, sf).withColumn("step", F.lit(EVAL_EVERY) * (F.lit(1) + F.col("pair_id") % 10))
+    return M.pair_metrics(s, ["step"])

@@ -29,7 +29,7 @@ copied at most ``2k`` times, never ``n`` times.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefdata.functions.keys import h, hnum
@@ -99,25 +99,34 @@ def unrank(draws: DataFrame, classes: DataFrame, qid: str, score: str) -> DataFr
     return x.select(qid, "i", "score_w", "m_w", "score_b", (F.col("bp") - F.col("above_b")).alias("m_b"))
 
 
+def _salt_digits(n: Column, target: int) -> Column:
+    """Hex digits of member hash used to cut a class of ``n`` members into buckets of about ``target``."""
+    return F.when(n <= target, F.lit(0)).otherwise(
+        F.least(F.ceil(F.log(16.0, n / F.lit(float(target)))), F.lit(12))).cast("int")
+
+
 def rank_in_class(answers: DataFrame, classes: DataFrame, qid: str, aid: str, score: str, seed,
                   target: int = RANK_TARGET) -> DataFrame:
-    """Number the members of each class by ``(h(seed, qid, aid), aid)`` -> column ``m`` (0-based).
+    """Number the members of each class in ``classes`` by ``(h(seed, qid, aid), aid)`` -> ``m`` (0-based).
 
-    A class larger than ``target`` is cut into ``16**d`` buckets by the first
-    ``d`` hex digits of the member hash.  The hash order is the bucket order,
-    so ``m`` = members in earlier buckets + rank inside the bucket; each window
-    holds about ``target`` rows however large the class is.
+    Classes of at most ``target`` members are ranked by one window each.  A
+    larger class is cut into ``16**d`` buckets by the first ``d`` hex digits of
+    the member hash; the hash order is the bucket order, so ``m`` = members in
+    earlier buckets + rank inside the bucket, and no window holds much more than
+    ``target`` rows however large the class is.
     """
-    digits = F.when(F.col("n") <= target, F.lit(0)).otherwise(
-        F.least(F.ceil(F.log(16.0, F.col("n") / F.lit(float(target)))), F.lit(12))).cast("int")
-    x = answers.join(classes.select(qid, score, digits.alias("_d")), [qid, score])
-    x = x.withColumn("_h", h(seed, qid, aid)).withColumn("_b", F.expr("substring(_h, 1, _d)"))
-    bc = x.groupBy(qid, score, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    cls = classes.select(qid, score, _salt_digits(F.col("n"), target).alias("_d"))
+    x = answers.join(cls, [qid, score]).withColumn("_h", h(seed, qid, aid))
+    small = x.filter(F.col("_d") == 0)
+    small = small.withColumn("m", F.row_number().over(Window.partitionBy(qid, score).orderBy("_h", aid)) - 1)
+    big = x.filter(F.col("_d") > 0).withColumn("_b", F.expr("substring(_h, 1, _d)"))
+    bc = big.groupBy(qid, score, "_b").agg(F.count(F.lit(1)).alias("_c"))
     wb = Window.partitionBy(qid, score).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     bc = bc.select(qid, score, "_b", F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_base"))
-    x = x.join(bc, [qid, score, "_b"])
+    big = big.join(bc, [qid, score, "_b"])
     wr = Window.partitionBy(qid, score, "_b").orderBy("_h", aid)
-    return x.withColumn("m", F.col("_base") + F.row_number().over(wr) - 1).drop("_d", "_h", "_b", "_base")
+    big = big.withColumn("m", F.col("_base") + F.row_number().over(wr) - 1).drop("_b", "_base")
+    return small.unionByName(big).drop("_d", "_h")
 
 
 def sample_pairs(answers: DataFrame, k: int = MAX_PAIRS, seed=42, qid: str = "qid", aid: str = "aid",
@@ -125,18 +134,24 @@ def sample_pairs(answers: DataFrame, k: int = MAX_PAIRS, seed=42, qid: str = "qi
     """J1 + O6: up to ``k`` distinct (better, worse) pairs per question, ids only.
 
     Output: ``qid, pair_no, aid_j, score_j, aid_k, score_k`` (``j`` better).
+    The class table and the draws (both small: one row per question and score,
+    ``k`` rows per question) are checkpointed to the shared checkpoint folder,
+    which cuts their lineage and keeps them from being recomputed per branch.
     """
     a = drop_null_scores(answers.select(qid, aid, score), score)
-    classes = score_classes(a, qid, score)
-    picks = unrank(_draws(classes, qid, k, seed), classes, qid, score)
-    wanted = picks.select(qid, F.col("score_w").alias(score)).union(
-        picks.select(qid, F.col("score_b").alias(score))).distinct()
-    ranked = rank_in_class(a, classes.join(wanted, [qid, score]), qid, aid, score, seed)
-    better = ranked.select(qid, F.col(score).alias("score_b"), F.col("m").alias("m_b"), F.col(aid).alias("aid_j"))
-    worse = ranked.select(qid, F.col(score).alias("score_w"), F.col("m").alias("m_w"), F.col(aid).alias("aid_k"))
-    out = picks.join(better, [qid, "score_b", "m_b"]).join(worse, [qid, "score_w", "m_w"])
-    return out.select(qid, F.col("i").alias("pair_no"), "aid_j", F.col("score_b").alias("score_j"),
-                      "aid_k", F.col("score_w").alias("score_k"))
+    classes = score_classes(a, qid, score).checkpoint()
+    picks = unrank(_draws(classes, qid, k, seed), classes, qid, score).checkpoint()
+    ends = picks.select(qid, "i", F.lit(0).alias("side"), F.col("score_b").alias(score), F.col("m_b").alias("m")).union(
+        picks.select(qid, "i", F.lit(1).alias("side"), F.col("score_w").alias(score), F.col("m_w").alias("m")))
+    wanted = classes.join(ends.select(qid, score).distinct(), [qid, score])
+    members = rank_in_class(a, wanted, qid, aid, score, seed).join(ends, [qid, score, "m"])
+    out = members.groupBy(qid, "i").agg(
+        F.max(F.when(F.col("side") == 0, F.col(aid))).alias("aid_j"),
+        F.max(F.when(F.col("side") == 0, F.col(score))).alias("score_j"),
+        F.max(F.when(F.col("side") == 1, F.col(aid))).alias("aid_k"),
+        F.max(F.when(F.col("side") == 1, F.col(score))).alias("score_k"),
+    )
+    return out.select(qid, F.col("i").alias("pair_no"), "aid_j", "score_j", "aid_k", "score_k")
 
 
 def attach_texts(pairs: DataFrame, answers: DataFrame, questions: DataFrame, qid: str = "qid", aid: str = "aid",
