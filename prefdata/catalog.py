@@ -567,3 +567,90 @@ def q_pair_accuracy(spark, sf):
 def q_eval_by_step(spark, sf):
     s = FX.scores(spark, sf).withColumn("step", F.lit(EVAL_EVERY) * (F.lit(1) + F.col("pair_id") % 10))
     return M.pair_metrics(s, ["step"])
+
+
+# ---------------------------------------------------------------- HTML and text cleanup
+
+from prefdata.functions import markdown as MD  # noqa: E402
+
+
+@register("html_to_markdown")
+def q_html_to_markdown(spark, sf):
+    """T1 UDF form (rows only: the converter follows a library that has no SQL equivalent)."""
+    pages = table(spark, sf, "pages").select("page_id", "html")
+    return MD.markdown_once(pages, "html", "markdown").select("page_id", "markdown")
+
+
+@register("markdown_native", f"SELECT page_id, {TX.sql_markdown_native('html')} AS markdown FROM pages")
+def q_markdown_native(spark, sf):
+    return table(spark, sf, "pages").select("page_id", TX.markdown_native("html").alias("markdown"))
+
+
+@register("collapse_blank_lines",
+          f"SELECT doc_id, regexp_replace(text, {TX.sql_literal(TX.BLANK_LINES_PATTERN)}, chr(10) || chr(10), 'g') AS text "
+          "FROM documents")
+def q_collapse_blank_lines(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", TX.collapse_blank_lines("text").alias("text"))
+
+
+@register("strip_text",
+          f"SELECT conv_id, turn, regexp_replace(text, {TX.sql_literal(TX.STRIP_PATTERN)}, '', 'g') AS text FROM conversations")
+def q_strip_text(spark, sf):
+    return table(spark, sf, "conversations").select("conv_id", "turn", TX.strip_text("text").alias("text"))
+
+
+@register("code_language", f"""SELECT page_id, CASE WHEN c = '' THEN NULL ELSE string_split(c, '-')[-1] END AS lang
+FROM (SELECT page_id, regexp_extract(regexp_extract(html, 'class="([^"]*)"', 1), '[^{TX.WHITESPACE_CLASS}]+', 0) AS c
+      FROM pages)""")
+def q_code_language(spark, sf):
+    pages = table(spark, sf, "pages")
+    return pages.select("page_id", TX.code_language(F.regexp_extract("html", 'class="([^"]*)"', 1)).alias("lang"))
+
+
+# ---------------------------------------------------------------- shards and sinks (K1-K5)
+
+from prefdata.operators import shards as SH  # noqa: E402
+from prefdata.session import scratch_path  # noqa: E402
+from prefdata.sources import sinks as SK  # noqa: E402
+
+SHARD_BYTES_Q = 256 << 10
+SQL_DOC_BYTES = "(8 + strlen(text) + strlen(lang) + strlen(source) + 8)"
+SQL_SPLIT_IDX = ("CASE WHEN pos < n * 3 // 10 THEN 0 WHEN pos < n * 6 // 10 THEN 1 "
+                 "WHEN pos < n * 9 // 10 THEN 2 ELSE 3 END")
+
+
+@register("shard_plan", f"""WITH o AS ({sql_positions('documents', 'doc_id')})
+SELECT {SPLIT_CASE} AS split, CAST(sum({SQL_DOC_BYTES}) AS BIGINT) AS nbytes,
+       CAST(sum({SQL_DOC_BYTES}) // {SHARD_BYTES_Q} + 1 AS INTEGER) AS n_shards
+FROM o GROUP BY 1""")
+def q_shard_plan(spark, sf):
+    docs = table(spark, sf, "documents")
+    return SH.shard_plan(S.split_exact(docs, "doc_id", SEED), "split", SHARD_BYTES_Q)
+
+
+SQL_SHARD_ROWS = f"""WITH o AS ({sql_positions('documents', 'doc_id')}),
+s AS (SELECT *, {SQL_SPLIT_IDX} AS si FROM o),
+t AS (SELECT *, pos - CASE si WHEN 0 THEN 0 WHEN 1 THEN n * 3 // 10 WHEN 2 THEN n * 6 // 10 ELSE n * 9 // 10 END AS p,
+             count(*) OVER (PARTITION BY si) AS ssize,
+             sum({SQL_DOC_BYTES}) OVER (PARTITION BY si) // {SHARD_BYTES_Q} + 1 AS k FROM s),
+u AS (SELECT *, ssize // k AS dv, ssize % k AS md FROM t)
+SELECT doc_id, {SPLIT_CASE} AS split,
+       CAST(CASE WHEN p < md * (dv + 1) THEN p // (dv + 1) ELSE md + (p - md * (dv + 1)) // dv END AS INTEGER) AS shard
+FROM u"""
+
+
+@register("shard_rows", SQL_SHARD_ROWS)
+def q_shard_rows(spark, sf):
+    docs = table(spark, sf, "documents")
+    return SH.split_and_shard(docs, "doc_id", SEED, SHARD_BYTES_Q).select("doc_id", "split", "shard")
+
+
+@register("shard_write", f"""WITH x AS ({SQL_SHARD_ROWS})
+SELECT split, shard, count(*) AS rows FROM x GROUP BY split, shard""")
+def q_shard_write(spark, sf):
+    """K3-K5: write the sharded splits under the shared checkpoint folder and read the row counts back."""
+    docs = table(spark, sf, "documents")
+    path = scratch_path(spark, "shards")
+    SK.write_sharded(SH.split_and_shard(docs, "doc_id", SEED, SHARD_BYTES_Q), path)
+    back = spark.read.parquet(path)
+    return back.groupBy("split", "shard").agg(F.count(F.lit(1)).alias("rows"))

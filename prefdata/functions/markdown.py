@@ -1,0 +1,227 @@
+"""HTML -> Markdown as an Arrow-batched pandas UDF (T1, with T2-T5 applied).
+
+The reference calls an HTML-to-Markdown library per text.  That library is not
+installed here, so this converter follows its documented conventions on top of
+the standard library's ``html.parser``: ATX headings, ``*`` bullets (nested
+lists indented), ``**strong**`` / ``*em*``, two-space line breaks, ``[text](href)``
+links, fenced ``pre`` blocks tagged by the code-language rule (T2), ``>``
+quotes, ``---`` rules, pipe tables, ``*`` and ``_`` escaped in text, entities
+decoded; ``script``, ``style`` and comments are dropped.  Byte parity with the
+library is a non-goal; the native subset in :mod:`prefdata.functions.text` is the
+SQL-checkable form.
+
+Run it on distinct texts (:func:`markdown_once`): the reference converts a
+question once per pair.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable, Iterator
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+VOID = {"br", "hr", "img", "meta", "link", "input", "area", "base", "col", "embed", "source", "wbr"}
+DROP = {"script", "style", "noscript", "template"}
+BLOCK = {"p", "div", "ul", "ol", "li", "pre", "blockquote", "table", "h1", "h2", "h3", "h4", "h5", "h6",
+         "article", "section", "nav", "header", "footer", "tr", "hr"}
+_WS_RUN = re.compile(r"[\t \r\n]+")
+_BLANK = re.compile(r"\n\s*\n")
+
+
+class _Node:
+    __slots__ = ("tag", "attrs", "children")
+
+    def __init__(self, tag: str, attrs: dict):
+        self.tag, self.attrs, self.children = tag, attrs, []
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = _Node("#root", {})
+        self.stack = [self.root]
+
+    def handle_starttag(self, tag, attrs):
+        node = _Node(tag, {k: (v or "") for k, v in attrs})
+        if tag == "p" or (tag in BLOCK and self.stack[-1].tag == "p"):
+            self._close("p")  # an open <p> ends where a new block starts
+        if tag == "li":
+            self._close_li()
+        self.stack[-1].children.append(node)
+        if tag not in VOID:
+            self.stack.append(node)
+
+    def handle_startendtag(self, tag, attrs):
+        self.stack[-1].children.append(_Node(tag, {k: (v or "") for k, v in attrs}))
+
+    def handle_endtag(self, tag):
+        self._close(tag)
+
+    def handle_data(self, data):
+        self.stack[-1].children.append(data)
+
+    def _close(self, tag):
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].tag == tag:
+                del self.stack[i:]
+                return
+
+    def _close_li(self):
+        for i in range(len(self.stack) - 1, 0, -1):
+            t = self.stack[i].tag
+            if t in ("ul", "ol"):
+                return
+            if t == "li":
+                del self.stack[i:]
+                return
+
+
+def default_code_language(attrs: dict) -> str | None:
+    """The text after the last ``-`` of the first class, or None when there is no class."""
+    classes = attrs.get("class", "").split()
+    return classes[0].split("-")[-1] if classes else None
+
+
+def _escape(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("*", r"\*").replace("_", r"\_")
+
+
+def _text(node) -> str:
+    if isinstance(node, str):
+        return node
+    return "".join(_text(c) for c in node.children)
+
+
+class _Renderer:
+    def __init__(self, code_language: Callable[[dict], str | None]):
+        self.code_language = code_language
+
+    def children(self, node, depth: int) -> str:
+        return "".join(self.render(c, depth) for c in node.children)
+
+    def render(self, node, depth: int = 0) -> str:
+        if isinstance(node, str):
+            return _escape(_WS_RUN.sub(" ", node))
+        t = node.tag
+        if t in DROP:
+            return ""
+        if t in ("h1", "h2", "h3", "h4", "h5", "h6"):
+            inner = self.children(node, depth).strip()
+            return f"\n\n{'#' * int(t[1])} {inner}\n\n"
+        if t in ("b", "strong"):
+            inner = self.children(node, depth)
+            return f"**{inner.strip()}**" if inner.strip() else ""
+        if t in ("i", "em"):
+            inner = self.children(node, depth)
+            return f"*{inner.strip()}*" if inner.strip() else ""
+        if t == "br":
+            return "  \n"
+        if t == "hr":
+            return "\n\n---\n\n"
+        if t == "p":
+            return f"\n\n{self.children(node, depth)}\n\n"
+        if t == "a":
+            inner = self.children(node, depth)
+            href = node.attrs.get("href")
+            if not href:
+                return inner
+            title = node.attrs.get("title")
+            suffix = f' "{title}"' if title else ""
+            return f"<{href}>" if inner == href and not title else f"[{inner}]({href}{suffix})"
+        if t == "img":
+            alt, src = node.attrs.get("alt", ""), node.attrs.get("src", "")
+            title = node.attrs.get("title")
+            return f"![{alt}]({src}{' \"' + title + '\"' if title else ''})"
+        if t in ("ul", "ol"):
+            return self.list(node, depth)
+        if t == "li":
+            return f"* {self.children(node, depth).strip()}\n"
+        if t == "pre":
+            code = node.children[0] if len(node.children) == 1 and not isinstance(node.children[0], str) else node
+            lang = self.code_language(code.attrs if isinstance(code, _Node) and code.tag == "code" else node.attrs)
+            return f"\n```{lang or ''}\n{_text(node)}\n```\n"
+        if t == "code":
+            return f"`{_text(node)}`"
+        if t == "blockquote":
+            inner = self.children(node, depth).strip()
+            return "\n" + "\n".join(f"> {line}" if line else ">" for line in inner.split("\n")) + "\n\n"
+        if t == "table":
+            return self.table(node)
+        return self.children(node, depth)
+
+    def list(self, node, depth: int) -> str:
+        out, n = [], 0
+        for c in node.children:
+            if isinstance(c, str):
+                continue
+            if c.tag != "li":
+                out.append(self.render(c, depth))
+                continue
+            n += 1
+            parts, nested = [], []
+            for cc in c.children:
+                if isinstance(cc, _Node) and cc.tag in ("ul", "ol"):
+                    nested.append(self.list(cc, depth + 1))
+                else:
+                    parts.append(self.render(cc, depth + 1))
+            bullet = f"{n}." if node.tag == "ol" else "*+-"[depth % 3]
+            text = "".join(parts).strip()
+            out.append("  " * depth + f"{bullet} {text}\n" + "".join(nested))
+        body = "".join(out)
+        return f"\n\n{body}\n" if depth == 0 else body
+
+    def table(self, node) -> str:
+        rows = []
+
+        def walk(n):
+            for c in n.children:
+                if isinstance(c, _Node):
+                    if c.tag == "tr":
+                        rows.append([self.children(cell, 0).strip().replace("\n", " ")
+                                     for cell in c.children if isinstance(cell, _Node) and cell.tag in ("td", "th")])
+                    else:
+                        walk(c)
+
+        walk(node)
+        if not rows:
+            return ""
+        width = max(len(r) for r in rows)
+        rows = [r + [""] * (width - len(r)) for r in rows]
+        lines = ["| " + " | ".join(rows[0]) + " |", "| " + " | ".join(["---"] * width) + " |"]
+        lines += ["| " + " | ".join(r) + " |" for r in rows[1:]]
+        return "\n\n" + "\n".join(lines) + "\n\n"
+
+
+def convert(html: str, code_language: Callable[[dict], str | None] = default_code_language) -> str:
+    """T1 + T3 + T4 + T5 for one text."""
+    b = _Builder()
+    b.feed(html)
+    b.close()
+    text = _Renderer(code_language).render(b.root)
+    text = _BLANK.sub("\n\n", text).strip()
+    return text.encode("utf-8", "replace").decode()
+
+
+def html_to_markdown(code_language: Callable[[dict], str | None] = default_code_language) -> Callable[[Column], Column]:
+    """T1 as a Column function (Arrow batches; one converter per batch)."""
+
+    @F.pandas_udf(T.StringType())
+    def md(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in texts:
+            yield s.map(lambda x: None if x is None else convert(x, code_language))
+
+    return md
+
+
+def markdown_once(df: DataFrame, html: str, out: str = "markdown", fn: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Convert each distinct text once and join the result back on its hash."""
+    fn = fn or html_to_markdown()
+    keyed = df.withColumn("_th", F.sha2(F.col(html), 256))
+    distinct = keyed.select("_th", html).dropDuplicates(["_th"])
+    converted = distinct.select("_th", fn(F.col(html)).alias(out))
+    return keyed.join(converted, "_th").drop("_th")
