@@ -654,3 +654,42 @@ def q_shard_write(spark, sf):
     SK.write_sharded(SH.split_and_shard(docs, "doc_id", SEED, SHARD_BYTES_Q), path)
     back = spark.read.parquet(path)
     return back.groupBy("split", "shard").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---------------------------------------------------------------- streaming
+
+from prefdata.streaming import streams as ST  # noqa: E402
+
+STREAM_WINDOW_SECONDS = 86400
+STREAM_WATERMARK_SECONDS = 3600
+
+
+def _stream(spark, sf, name):
+    # a glob, not the file itself: a file stream source lists a folder or a pattern
+    path = f"{sf.rstrip('/')}/{name}[.]parquet"
+    return ST.read_stream(spark, path, table(spark, sf, name).schema)
+
+
+@register("stream_split", f"""SELECT event_id, CASE WHEN b < 3 THEN 'finetune' WHEN b < 6 THEN 'reward' WHEN b < 9 THEN 'rl'
+  ELSE 'evaluation' END AS split FROM (SELECT event_id, {sql_hnum(sql_h(SEED, 'event_id'))} % 10 AS b FROM events)""")
+def q_stream_split(spark, sf):
+    s = _stream(spark, sf, "events").select("event_id", ST.hash_split("event_id", SEED).alias("split"))
+    return ST.run_to_table(spark, s, "stream-split", partition_by=["split"]).select("event_id", "split")
+
+
+@register("stream_prompts", f"""SELECT conv_id, turn, query FROM (
+  SELECT conv_id, turn, {SQL_Q} || text || {SQL_A} AS query FROM conversations WHERE role = 'user')
+WHERE {sql_ntok('query')} < 512""")
+def q_stream_prompts(spark, sf):
+    s = ST.prompts(_stream(spark, sf, "conversations"))
+    return ST.run_to_table(spark, s, "stream-prompts")
+
+
+@register("stream_rewards", f"""SELECT * FROM (
+  SELECT CAST(floor(epoch(ts) / {STREAM_WINDOW_SECONDS}) * {STREAM_WINDOW_SECONDS} AS BIGINT) AS window_start, event_type,
+         count(*) AS n, round(avg(value), 6) AS mean_value
+  FROM events GROUP BY 1, 2)
+WHERE window_start + {STREAM_WINDOW_SECONDS} <= (SELECT epoch(max(ts)) FROM events) - {STREAM_WATERMARK_SECONDS}""")
+def q_stream_rewards(spark, sf):
+    s = ST.windowed_rewards(_stream(spark, sf, "events"), window="1 day", watermark="1 hour")
+    return ST.run_to_table(spark, s, "stream-rewards")
