@@ -693,3 +693,17 @@ WHERE window_start + {STREAM_WINDOW_SECONDS} <= (SELECT epoch(max(ts)) FROM even
 def q_stream_rewards(spark, sf):
     s = ST.windowed_rewards(_stream(spark, sf, "events"), window="1 day", watermark="1 hour")
     return ST.run_to_table(spark, s, "stream-rewards")
+
+
+# ---------------------------------------------------------------- flagship plan (O4 + J3 + P4 + G3)
+
+from prefdata.plans import prepare as PA  # noqa: E402
+
+
+@register("split_pairs", SQL_QA_PAIRS_TEXT + f""",
+qs AS (SELECT qid, {SPLIT_CASE} AS split FROM ({sql_positions('(SELECT DISTINCT qid FROM qa_answers)', 'qid')}))
+SELECT qs.split, count(*) AS n_pairs, count(DISTINCT p.qid) AS n_questions,
+       CAST(sum(length({SQL_Q} || p.question || {SQL_A} || p.response_j)) AS BIGINT) AS n_chars
+FROM pairs_text p JOIN qs ON qs.qid = p.qid GROUP BY qs.split""")
+def q_split_pairs(spark, sf):
+    return PA.paired_split_counts(spark, sf, SEED)
