@@ -27,8 +27,12 @@ def _col(c) -> Column:
 
 
 def tokens(text) -> Column:
-    """T6 (whitespace form): ``text.split()`` as ``array<string>``."""
-    return F.regexp_extract_all(_col(text), F.lit(TOKEN_PATTERN), 0)
+    """T6 (whitespace form): ``text.split()`` as ``array<string>``.
+
+    Splitting on whitespace runs and dropping the empty strings at the ends is
+    the same as extracting the non-whitespace runs, and several times faster.
+    """
+    return F.array_remove(F.split(_col(text), "[" + WHITESPACE_CLASS + "]+"), "")
 
 
 def token_count(text) -> Column:

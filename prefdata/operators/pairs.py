@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefdata.functions.keys import h, hnum
+from prefdata.session import materialize
 
 MAX_PAIRS = 10
 # Largest number of rows one task numbers inside a class; bigger classes are salted.
@@ -57,12 +58,16 @@ def explode_threads(threads: DataFrame, answers: str = "answers", score: str = "
 
 
 def score_classes(answers: DataFrame, qid: str = "qid", score: str = "score") -> DataFrame:
-    """Per (question, score): ``n`` answers, ``above`` strictly better answers, first pair index ``block``."""
+    """Per (question, score): ``n`` answers, ``above`` strictly better answers, first pair index ``block``,
+    and the question's pair count ``np``."""
     c = answers.groupBy(qid, score).agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy(qid).orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, -1)
     c = c.withColumn("above", F.coalesce(F.sum("n").over(w), F.lit(0)).cast("long"))
     c = c.withColumn("pairs", F.col("n") * F.col("above"))
-    return c.withColumn("block", F.coalesce(F.sum("pairs").over(w), F.lit(0)).cast("long"))
+    whole = Window.partitionBy(qid).orderBy(F.col(score).desc()).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    return c.withColumn("block", F.coalesce(F.sum("pairs").over(w), F.lit(0)).cast("long")).withColumn(
+        "np", F.sum("pairs").over(whole).cast("long"))
 
 
 def pair_space(answers: DataFrame, qid: str = "qid", score: str = "score") -> DataFrame:
@@ -76,7 +81,8 @@ def pair_space(answers: DataFrame, qid: str = "qid", score: str = "score") -> Da
 
 
 def _draws(classes: DataFrame, qid: str, k: int, seed) -> DataFrame:
-    q = classes.groupBy(qid).agg(F.sum("pairs").alias("np")).filter(F.col("np") > 0)
+    # The best class of each question (above = 0) carries the question's pair count: no aggregate needed.
+    q = classes.filter((F.col("above") == 0) & (F.col("np") > 0)).select(qid, "np")
     q = q.withColumn("k", F.least(F.col("np"), F.lit(k)))
     d = q.select(qid, "np", "k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("i"))
     # Stratum i is [floor(i*np/k), floor((i+1)*np/k)), computed without overflowing i*np.
@@ -106,7 +112,7 @@ def _salt_digits(n: Column, target: int) -> Column:
 
 
 def rank_in_class(answers: DataFrame, classes: DataFrame, qid: str, aid: str, score: str, seed,
-                  target: int = RANK_TARGET) -> DataFrame:
+                  target: int | None = None, salted: bool = True) -> DataFrame:
     """Number the members of each class in ``classes`` by ``(h(seed, qid, aid), aid)`` -> ``m`` (0-based).
 
     Classes of at most ``target`` members are ranked by one window each.  A
@@ -115,10 +121,13 @@ def rank_in_class(answers: DataFrame, classes: DataFrame, qid: str, aid: str, sc
     earlier buckets + rank inside the bucket, and no window holds much more than
     ``target`` rows however large the class is.
     """
+    target = RANK_TARGET if target is None else target
     cls = classes.select(qid, score, _salt_digits(F.col("n"), target).alias("_d"))
     x = answers.join(cls, [qid, score]).withColumn("_h", h(seed, qid, aid))
     small = x.filter(F.col("_d") == 0)
     small = small.withColumn("m", F.row_number().over(Window.partitionBy(qid, score).orderBy("_h", aid)) - 1)
+    if not salted:
+        return small.drop("_d", "_h")
     big = x.filter(F.col("_d") > 0).withColumn("_b", F.expr("substring(_h, 1, _d)"))
     bc = big.groupBy(qid, score, "_b").agg(F.count(F.lit(1)).alias("_c"))
     wb = Window.partitionBy(qid, score).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -134,17 +143,20 @@ def sample_pairs(answers: DataFrame, k: int = MAX_PAIRS, seed=42, qid: str = "qi
     """J1 + O6: up to ``k`` distinct (better, worse) pairs per question, ids only.
 
     Output: ``qid, pair_no, aid_j, score_j, aid_k, score_k`` (``j`` better).
-    The class table and the draws (both small: one row per question and score,
-    ``k`` rows per question) are checkpointed to the shared checkpoint folder,
-    which cuts their lineage and keeps them from being recomputed per branch.
+    The class table and the draws (one row per question and score, ``k`` rows
+    per question) are written once to the shared checkpoint folder, which cuts
+    their lineage and keeps them from being recomputed in every branch.
     """
     a = drop_null_scores(answers.select(qid, aid, score), score)
-    classes = score_classes(a, qid, score).checkpoint()
-    picks = unrank(_draws(classes, qid, k, seed), classes, qid, score).checkpoint()
+    classes = materialize(score_classes(a, qid, score), "pair-classes")
+    picks = materialize(unrank(_draws(classes, qid, k, seed), classes, qid, score), "pair-picks")
     ends = picks.select(qid, "i", F.lit(0).alias("side"), F.col("score_b").alias(score), F.col("m_b").alias("m")).union(
         picks.select(qid, "i", F.lit(1).alias("side"), F.col("score_w").alias(score), F.col("m_w").alias("m")))
     wanted = classes.join(ends.select(qid, score).distinct(), [qid, score])
-    members = rank_in_class(a, wanted, qid, aid, score, seed).join(ends, [qid, score, "m"])
+    # The class table is already written: one small aggregate says whether any class needs salting.
+    largest = classes.agg(F.max("n").alias("m")).first()["m"] or 0
+    ranked = rank_in_class(a, wanted, qid, aid, score, seed, salted=largest > RANK_TARGET)
+    members = ranked.join(ends, [qid, score, "m"])
     out = members.groupBy(qid, "i").agg(
         F.max(F.when(F.col("side") == 0, F.col(aid))).alias("aid_j"),
         F.max(F.when(F.col("side") == 0, F.col(score))).alias("score_j"),

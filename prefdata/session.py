@@ -24,6 +24,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Broadcast only on measured sizes: no static broadcast from file-size estimates (compressed
+        # Parquet under-states memory, explode/filter estimates are guesses); AQE still turns a join
+        # into a broadcast join at run time when the shuffled side really is small.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
@@ -53,3 +58,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder (for sinks and stream state)."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    One pass over the input (``Dataset.checkpoint`` computes an unpersisted
+    input twice: once for the action, once for the checkpoint write), and the
+    files sit in reliable shared storage, so a lost executor does not force a
+    recompute of everything upstream.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
