@@ -170,11 +170,13 @@ def attach_texts(pairs: DataFrame, answers: DataFrame, questions: DataFrame, qid
                  text: str = "text", clean=None) -> DataFrame:
     """Repeat the question's columns on each pair and add ``response_j`` / ``response_k``.
 
-    ``clean`` (a Column function) is applied once per distinct answer, not per pair.
+    Answers are matched on (question, answer id): an answer id need only be
+    unique inside its question (a position in a nested thread is).  ``clean``
+    (a Column function) runs once per answer, not once per pair.
     """
-    t = answers.select(F.col(aid), (clean(F.col(text)) if clean else F.col(text)).alias("_t"))
-    p = pairs.join(t.select(F.col(aid).alias("aid_j"), F.col("_t").alias("response_j")), "aid_j")
-    p = p.join(t.select(F.col(aid).alias("aid_k"), F.col("_t").alias("response_k")), "aid_k")
+    t = answers.select(qid, aid, (clean(F.col(text)) if clean else F.col(text)).alias("_t"))
+    p = pairs.join(t.select(qid, F.col(aid).alias("aid_j"), F.col("_t").alias("response_j")), [qid, "aid_j"])
+    p = p.join(t.select(qid, F.col(aid).alias("aid_k"), F.col("_t").alias("response_k")), [qid, "aid_k"])
     return p.join(questions, qid)
 
 
