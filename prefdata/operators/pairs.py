@@ -155,8 +155,16 @@ def sample_pairs(answers: DataFrame, k: int = MAX_PAIRS, seed=42, qid: str = "qi
     wanted = classes.join(ends.select(qid, score).distinct(), [qid, score])
     # The class table is already written: one small aggregate says whether any class needs salting.
     largest = classes.agg(F.max("n").alias("m")).first()["m"] or 0
-    ranked = rank_in_class(a, wanted, qid, aid, score, seed, salted=largest > RANK_TARGET)
-    members = ranked.join(ends, [qid, score, "m"])
+    salted = largest > RANK_TARGET
+    ranked = rank_in_class(a, wanted, qid, aid, score, seed, salted=salted)
+    if salted:
+        # hot classes: the member number is part of the key, so one class spreads over many partitions
+        members = ranked.join(ends, [qid, score, "m"])
+    else:
+        # the ranked answers are already hash-partitioned by (qid, score) from the class window; match the
+        # member number as a residual so the answers are not shuffled again
+        e = ends.withColumnRenamed("m", "_m")
+        members = ranked.join(e, [qid, score]).filter((F.col("m") - F.col("_m")) == 0).drop("_m")
     out = members.groupBy(qid, "i").agg(
         F.max(F.when(F.col("side") == 0, F.col(aid))).alias("aid_j"),
         F.max(F.when(F.col("side") == 0, F.col(score))).alias("score_j"),
