@@ -18,16 +18,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prefdata.functions.tokens import EOS_ID, SPECIAL_TOKENS, UNK_ID, append_token, token_count, tokens
+from prefdata.session import materialize
 
 MAX_VOCAB = 32000
 
 
 def build_vocab(df: DataFrame, text: str, max_size: int = MAX_VOCAB) -> DataFrame:
-    """``(token, id, n)``; ids ``0..2`` are the special tokens, then tokens by (count desc, token)."""
+    """``(token, id, n)``; ids ``0..2`` are the special tokens, then tokens by (count desc, token).
+
+    Counting is a partial aggregate.  To keep the top-``V`` step small, a
+    histogram of the count values (one row per distinct count) gives the count
+    of the V-th token; only tokens at or above it reach the ordered limit, so
+    one task sees about V rows instead of V per partition.
+    """
     counts = df.select(F.explode(tokens(text)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts, "token-counts")  # one tokenizing pass feeds both steps below
     keep = max_size - len(SPECIAL_TOKENS)
-    # TakeOrdered keeps at most `keep` rows per partition, then merges: bounded by max_size.
-    top = counts.orderBy(F.col("n").desc(), F.col("token")).limit(keep)
+    # the V-th token's count is among the V largest distinct counts: at most V rows reach the driver
+    hist = (counts.groupBy("n").agg(F.count(F.lit(1)).alias("tokens"))
+            .orderBy(F.col("n").desc()).limit(keep).collect())
+    floor, seen = 0, 0
+    for row in sorted(hist, key=lambda r: -r["n"]):
+        seen += row["tokens"]
+        floor = row["n"]
+        if seen >= keep:
+            break
+    top = counts.filter(F.col("n") >= floor).orderBy(F.col("n").desc(), F.col("token")).limit(keep)
     ranked = top.withColumn("id", (F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("token")))
                                    + len(SPECIAL_TOKENS) - 1).cast("int"))
     return ranked.select("token", "id", "n")
