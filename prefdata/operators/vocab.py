@@ -13,6 +13,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,15 +59,34 @@ def _vocab_dict(vocab: DataFrame, max_size: int) -> dict[str, int]:
 
 
 def encoder(vocab: DataFrame, max_size: int = MAX_VOCAB) -> Callable[[Column], Column]:
-    """A Column function ``text -> array<int>`` (unknown tokens -> ``<unk>``)."""
+    """A Column function ``text -> array<int>`` (unknown tokens -> ``<unk>``).
+
+    An Arrow UDF: each batch is split with ``str.split()`` and looked up in
+    one vectorized ``index_in`` against the (bounded) vocabulary; the result
+    list array is built from offsets, with no per-token Python objects on the
+    way back.
+    """
     spark = vocab.sparkSession
     table = spark.sparkContext.broadcast(_vocab_dict(vocab, max_size))
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lookup = table.value
-        for s in texts:
-            yield s.map(lambda t: None if t is None else [lookup.get(w, UNK_ID) for w in t.split()])
+        keys = pa.array(list(lookup.keys()), type=pa.string())
+        ids = pa.array(list(lookup.values()), type=pa.int32())
+        for arr in texts:
+            rows = arr.to_pylist()
+            split = [None if t is None else t.split() for t in rows]
+            offsets, flat, total = [0], [], 0
+            for toks in split:
+                if toks:
+                    flat.extend(toks)
+                    total += len(toks)
+                offsets.append(total)
+            pos = pc.index_in(pa.array(flat, type=pa.string()), value_set=keys)
+            values = pc.fill_null(pc.take(ids, pos), pa.scalar(UNK_ID, pa.int32()))
+            mask = pa.array([t is None for t in rows])
+            yield pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), values, mask=mask)
 
     return encode
 
