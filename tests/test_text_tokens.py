@@ -124,3 +124,12 @@ def test_markdown_native_subset(spark):
     html = '<!-- c --><h1>Title</h1><p>One <b>two</b><br>three &amp; &quot;q&quot;</p><a href="/x">link</a>'
     r = spark.createDataFrame([(html,)], "h string").select(TX.markdown_native("h").alias("m")).first()
     assert r["m"] == '# Title\n\nOne **two**  \nthree & "q"\n\n[link](/x)'
+
+
+def test_utf8_repair_inserts_replacement_char(spark):
+    r = spark.range(1).select(TX.repair_utf8(F.unhex(F.lit("61FF62")).cast("string")).alias("s")).first()
+    assert r["s"] == "a\ufffdb"
+
+
+def test_markdown_lone_surrogate_is_replaced():
+    assert convert("<p>a\ud800b</p>") == "a?b"
