@@ -707,3 +707,16 @@ SELECT qs.split, count(*) AS n_pairs, count(DISTINCT p.qid) AS n_questions,
 FROM pairs_text p JOIN qs ON qs.qid = p.qid GROUP BY qs.split""")
 def q_split_pairs(spark, sf):
     return PA.paired_split_counts(spark, sf, SEED)
+
+
+STREAM_HOLDOUT = 0.005
+HOLDOUT_RESOLUTION = 1_000_000
+
+
+@register("stream_holdout", f"""SELECT event_id, CASE WHEN {sql_hnum(sql_h(SEED, 'event_id'))} % {HOLDOUT_RESOLUTION}
+  < {int(round(STREAM_HOLDOUT * HOLDOUT_RESOLUTION))} THEN 'valid' ELSE 'train' END AS part FROM events""")
+def q_stream_holdout(spark, sf):
+    """L2 / O5 on a stream: a keyed-hash fraction is the validation part (a stream has no first n rows)."""
+    s = _stream(spark, sf, "events").select(
+        "event_id", ST.hash_holdout("event_id", STREAM_HOLDOUT, SEED, HOLDOUT_RESOLUTION).alias("part"))
+    return ST.run_to_table(spark, s, "stream-holdout")
