@@ -117,7 +117,7 @@ b AS (SELECT a.qid, count(*) AS n_pairs FROM order_lines a JOIN order_lines b ON
 t AS (SELECT a.qid, count(*) AS n_tied FROM order_lines a JOIN order_lines b ON a.qid = b.qid AND a.score = b.score AND a.aid < b.aid GROUP BY 1),
 n AS (SELECT qid, count(*) AS n_answers FROM order_lines GROUP BY 1)
 SELECT n.qid, n.n_answers, coalesce(b.n_pairs, 0) AS n_pairs, coalesce(t.n_tied, 0) AS n_tied
-FROM n LEFT JOIN b ON b.qid = n.qid LEFT JOIN t ON t.qid = n.qid""".replace("WITH order_lines", "WITH order_lines", 1))
+FROM n LEFT JOIN b ON b.qid = n.qid LEFT JOIN t ON t.qid = n.qid""")
 def q_pairs_all(spark, sf):
     """J1 sizes: per order, answers, unequal pairs and dropped ties (the oracle enumerates; Spark counts)."""
     return P.pair_space(FX.order_lines(spark, sf))
