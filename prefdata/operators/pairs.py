@@ -57,19 +57,72 @@ def explode_threads(threads: DataFrame, answers: str = "answers", score: str = "
     return x.select(*rest, "aid", *[F.col("_a")[f].alias(f) for f in fields])
 
 
-def score_classes(answers: DataFrame, qid: str = "qid", score: str = "score") -> DataFrame:
-    """Per (question, score): ``n`` answers, ``above`` strictly better answers, first pair index ``block``,
-    and the question's pair count ``np``."""
-    c = answers.groupBy(qid, score).agg(F.count(F.lit(1)).alias("n"))
+# Largest number of score classes of one question handled by a single window task.
+MAX_WINDOW_CLASSES = 200_000
+
+
+def _class_sums(c: DataFrame, qid: str, score: str) -> DataFrame:
+    """``above``, ``block`` and ``np`` with one window per question (few distinct scores per question)."""
     w = Window.partitionBy(qid).orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    c = c.withColumn("above", F.coalesce(F.sum("n").over(w), F.lit(0)).cast("long"))
-    c = c.withColumn("pairs", F.col("n") * F.col("above"))
     whole = Window.partitionBy(qid).orderBy(F.col(score).desc()).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
+    c = c.withColumn("above", F.coalesce(F.sum("n").over(w), F.lit(0)).cast("long"))
+    c = c.withColumn("pairs", F.col("n") * F.col("above"))
     return c.withColumn("block", F.coalesce(F.sum("pairs").over(w), F.lit(0)).cast("long")).withColumn(
         "np", F.sum("pairs").over(whole).cast("long"))
 
 
+def _class_sums_scan(c: DataFrame, qid: str, score: str, partitions: int) -> DataFrame:
+    """The same sums as a distributed prefix scan, for questions with very many distinct scores.
+
+    The class table is range-partitioned on (qid, score desc), so one question
+    may span many partitions; running sums are taken inside each (partition,
+    question) segment, and a per-segment table (at most one row per partition
+    and question) carries the offsets across partitions.
+    """
+    r = materialize(c.repartitionByRange(partitions, F.col(qid), F.col(score).desc())
+                    .withColumn("_p", F.spark_partition_id()), "class-ranges")
+    prev = Window.partitionBy("_p", qid).orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    seg_all = Window.partitionBy("_p", qid)
+    x = r.withColumn("_al", F.coalesce(F.sum("n").over(prev), F.lit(0)).cast("long"))
+    x = x.withColumn("_bl", F.coalesce(F.sum(F.col("n") * F.col("_al")).over(prev), F.lit(0)).cast("long"))
+    x = x.withColumn("_tn", F.sum("n").over(seg_all).cast("long")).withColumn(
+        "_tb", F.sum(F.col("n") * F.col("_al")).over(seg_all).cast("long"))
+    seg = x.select("_p", qid, "_tn", "_tb").dropDuplicates(["_p", qid])
+    before = Window.partitionBy(qid).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(qid).orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seg = seg.withColumn("_on", F.coalesce(F.sum("_tn").over(before), F.lit(0)).cast("long"))
+    seg = seg.withColumn("_contrib", F.col("_tb") + F.col("_tn") * F.col("_on"))
+    seg = seg.withColumn("_ob", F.coalesce(F.sum("_contrib").over(before), F.lit(0)).cast("long")).withColumn(
+        "np", F.sum("_contrib").over(whole).cast("long"))
+    y = x.join(seg.select("_p", qid, "_on", "_ob", "np"), ["_p", qid])
+    y = y.withColumn("above", F.col("_on") + F.col("_al"))
+    y = y.withColumn("pairs", F.col("n") * F.col("above"))
+    y = y.withColumn("block", F.col("_ob") + F.col("_on") * F.col("_al") + F.col("_bl"))
+    return y.select(qid, score, "n", "above", "pairs", "block", "np")
+
+
+def score_classes(answers: DataFrame, qid: str = "qid", score: str = "score", scan_partitions: int | None = None,
+                  max_window_classes: int | None = None) -> DataFrame:
+    """Per (question, score): ``n`` answers, ``above`` strictly better answers, first pair index ``block``,
+    and the question's pair count ``np``.
+
+    The class counts are a partial aggregate.  When no question has more than
+    ``max_window_classes`` distinct scores (integer votes: always), one window
+    per question computes the sums; otherwise a range-partitioned prefix scan
+    does, so a hot question with continuous scores is spread over many tasks.
+    """
+    c = answers.groupBy(qid, score).agg(F.count(F.lit(1)).alias("n"))
+    limit = MAX_WINDOW_CLASSES if max_window_classes is None else max_window_classes
+    if scan_partitions is None:
+        c = materialize(c, "class-counts")
+        widest = c.groupBy(qid).agg(F.count(F.lit(1)).alias("k")).agg(F.max("k").alias("m")).first()["m"] or 0
+        if widest <= limit:
+            return _class_sums(c, qid, score)
+        scan_partitions = max(2, int(c.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return _class_sums_scan(c, qid, score, scan_partitions)
+
+
 def pair_space(answers: DataFrame, qid: str = "qid", score: str = "score") -> DataFrame:
     """J1 without enumeration: per question, answers, unequal (kept) pairs and tied (dropped) pairs."""
     c = score_classes(drop_null_scores(answers, score), qid, score)

@@ -85,3 +85,19 @@ def test_nested_threads_explode(spark):
     assert flat.columns == ["qid", "question", "aid", "pm_score", "text"]
     pairs = P.sample_pairs(flat.withColumnRenamed("pm_score", "score")).collect()
     assert sorted((r["aid_j"], r["aid_k"]) for r in pairs) == [(0, 1), (2, 1)]
+
+
+def test_prefix_scan_equals_window_sums(spark):
+    rows = [(1, i, (i * 37) % 101) for i in range(400)] + [(2, 1000 + i, i % 3) for i in range(30)] + [(3, 5000, 1)]
+    a = _answers(spark, rows)
+    cols = ["qid", "score", "n", "above", "pairs", "block", "np"]
+    win = sorted(P.score_classes(a).select(*cols).collect())
+    for parts in (1, 3, 7):
+        scan = sorted(P.score_classes(a, scan_partitions=parts).select(*cols).collect())
+        assert scan == win
+
+
+def test_sampler_with_prefix_scan(spark, monkeypatch):
+    rows = [(1, i, (i * 37) % 101) for i in range(300)] + [(2, 1000 + i, i % 4) for i in range(25)]
+    monkeypatch.setattr(P, "MAX_WINDOW_CLASSES", 5)
+    assert _sample(spark, rows) == _expected(rows)
