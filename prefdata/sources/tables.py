@@ -16,9 +16,34 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table, ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that arrives in fewer partitions than the cluster has cores.
+
+    A single Parquet file with one row group is read by one task, and every
+    map-side expression after it (regex tokens, hashes, UDFs) would run there.
+    On a cluster the input has at least as many splits as cores and this is a
+    no-op, so it never re-shuffles a large input.
+    """
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (remote session): leave the scan as it is
+        return df
+    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)
+
+
+# Tables whose rows carry long texts: the per-row work after the scan (regex, tokens, UDFs) is heavy.
+TEXT_TABLES = frozenset({"documents", "pages", "conversations"})
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool | None = None) -> DataFrame:
+    """One driver table, ``{sf_dir}/{name}.parquet``.
+
+    Text tables are spread over the cores when they arrive in too few splits
+    (:func:`spread`); pass ``spread_scan`` to override.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    do_spread = name in TEXT_TABLES if spread_scan is None else spread_scan
+    return spread(df) if do_spread else df
 
 
 def topic_paths(root: str, *topics: str, site_suffix: str = ".stackexchange.com") -> list[str]:
