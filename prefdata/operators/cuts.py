@@ -9,8 +9,10 @@ task.  Instead:
 1. histogram of the first 4 hex digits of the hash (at most 65,536 groups,
    partially aggregated before the shuffle);
 2. for each cut position find its bucket on the driver (the histogram is
-   bounded); a bucket larger than ``FETCH_MAX`` rows is refined by the next 4
-   digits, so no task ever ranks more than ``FETCH_MAX`` rows;
+   bounded); buckets larger than ``FETCH_MAX`` rows are refined by the next 4
+   digits, all of a level in one job.  With more than ``REFINE_MAX`` such
+   buckets (many cuts) they are ranked directly, one window per bucket of
+   about N/65,536 rows;
 3. rank only inside the buckets that hold a cut and read back the (hash, key)
    of the row at each cut (one row per cut);
 4. label every row by comparing its (hash, key) with those thresholds:
@@ -31,6 +33,8 @@ from pyspark.sql import types as T
 
 BUCKET_DIGITS = 4
 FETCH_MAX = 1_000_000
+# Most buckets refined in one level; beyond it the cut buckets are ranked directly.
+REFINE_MAX = 16
 CASE_MAX = 64
 # Marker thresholds: a cut at or before position 0 (every row is past it) and a cut
 # at or past the end (no row reaches it).
@@ -38,38 +42,55 @@ BEFORE_ALL = "before-all"
 AFTER_ALL = "after-all"
 
 
-def _histogram(keys: DataFrame, hcol: str, prefix: str, digits: int) -> list[tuple[str, int]]:
-    """Counts per hash prefix of length ``len(prefix)+digits`` among rows starting with ``prefix``."""
-    width = len(prefix) + digits
-    src = keys if not prefix else keys.filter(F.substring(hcol, 1, len(prefix)) == prefix)
+def _histogram(keys: DataFrame, hcol: str, prefixes: list[str], digits: int) -> dict[str, list[tuple[str, int]]]:
+    """Counts per hash prefix one level deeper, for all given prefixes in one job (``[""]`` = top level)."""
+    width = len(prefixes[0]) + digits
+    src = keys if prefixes == [""] else keys.filter(F.substring(hcol, 1, len(prefixes[0])).isin(prefixes))
     rows = src.groupBy(F.substring(hcol, 1, width).alias("_b")).agg(F.count(F.lit(1)).alias("_n")).collect()
-    return sorted((r["_b"], r["_n"]) for r in rows)
+    out: dict[str, list[tuple[str, int]]] = {p: [] for p in prefixes}
+    for r in rows:
+        out[r["_b"][: width - digits]].append((r["_b"], r["_n"]))
+    return {p: sorted(v) for p, v in out.items()}
 
 
-def _resolve(keys: DataFrame, hcol: str, hist, wanted: list[int], prefix: str = ""):
-    """Map positions (relative to the histogram's rows) to (bucket, offset in bucket), refining big buckets."""
-    out: dict[int, tuple[str, int]] = {}
+def _locate(hist, wanted: list[int]) -> dict[int, tuple[str, int, int]]:
+    """Position -> (bucket, offset in bucket, bucket size) within one histogram."""
     starts, acc = [], 0
     for _, n in hist:
         starts.append(acc)
         acc += n
-    refine: dict[str, list[tuple[int, int]]] = {}
+    out = {}
     for p in wanted:
         i = bisect_right(starts, p) - 1
-        b, n = hist[i]
-        off = p - starts[i]
-        if n > FETCH_MAX and len(b) + BUCKET_DIGITS <= 32:
-            refine.setdefault(b, []).append((p, off))
-        else:
-            out[p] = (b, off)
-    for b, items in refine.items():
-        sub = _histogram(keys, hcol, b, BUCKET_DIGITS)
-        inner = _resolve(keys, hcol, sub, [off for _, off in items], b)
-        for p, off in items:
-            out[p] = inner[off]
+        out[p] = (hist[i][0], p - starts[i], hist[i][1])
     return out
 
 
+def _resolve(keys: DataFrame, hcol: str, hist, wanted: list[int]):
+    """Map positions to (bucket, offset in bucket), refining big buckets one level per job.
+
+    All oversized buckets of a level are refined by a single job.  When more
+    than ``REFINE_MAX`` buckets would need refining (many cuts), the buckets are
+    ranked directly instead: one window per bucket, each about N/65,536 rows.
+    """
+    located = {p: (b, off) for p, (b, off, _) in _locate(hist, wanted).items()}
+    sizes = dict(hist)
+    while True:
+        big: dict[str, list[int]] = {}
+        for p, (b, _) in located.items():
+            if sizes.get(b, 0) > FETCH_MAX and len(b) + BUCKET_DIGITS <= 32:
+                big.setdefault(b, []).append(p)
+        if not big or len(big) > REFINE_MAX:
+            return located
+        subs = _histogram(keys, hcol, sorted(big), BUCKET_DIGITS)
+        for b, ps in big.items():
+            inner = _locate(subs[b], [located[p][1] for p in ps])
+            for p in ps:
+                sb, soff, _ = inner[located[p][1]]
+                located[p] = (sb, soff)
+        sizes = {sb: n for v in subs.values() for sb, n in v}
+
+
 def _fetch(keys: DataFrame, hcol: str, kcol: str, located: dict[int, tuple[str, int]]):
     """Read the (hash, key) of the row at each located (bucket, offset)."""
     result: dict[int, tuple] = {}
@@ -97,7 +118,7 @@ def _fetch(keys: DataFrame, hcol: str, kcol: str, located: dict[int, tuple[str,
 def cut_thresholds(keys: DataFrame, hcol: str, kcol: str, cuts: list[int], total: int | None = None, hist=None):
     """(N, thresholds): the (hash, key) of the row at each cut position, or a marker."""
     if hist is None:
-        hist = _histogram(keys, hcol, "", BUCKET_DIGITS)
+        hist = _histogram(keys, hcol, [""], BUCKET_DIGITS)[""]
     n = sum(c for _, c in hist) if total is None else total
     inside = sorted({c for c in cuts if 0 < c < n})
     located = _resolve(keys, hcol, hist, inside) if inside else {}

@@ -62,3 +62,16 @@ def test_same_result_for_1_and_8_partitions(spark):
 def test_split_counts(spark):
     rows = {r["split"]: r["n"] for r in S.split_counts(S.split_exact(_df(spark, 100), "k")).collect()}
     assert rows == {"finetune": 30, "reward": 30, "rl": 30, "evaluation": 10}
+
+
+def test_many_cuts_with_big_buckets_rank_directly(spark, monkeypatch):
+    monkeypatch.setattr(cuts, "FETCH_MAX", 2)
+    monkeypatch.setattr(cuts, "REFINE_MAX", 3)
+    n = 800
+    df = _df(spark, n).withColumn("_o", F.md5(F.concat_ws("-", F.lit("42"), F.col("k").cast("string"))))
+    cut_list = list(range(7, n, 7))
+    out, _ = cuts.assign_intervals(df, "_o", "k", cut_list)
+    got = {r["k"]: r["_interval"] for r in out.collect()}
+    order = sorted(range(n), key=lambda k: (df_hash(k), k))
+    for pos, k in enumerate(order):
+        assert got[k] == sum(1 for c in cut_list if pos >= c)
