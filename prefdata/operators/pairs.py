@@ -102,6 +102,26 @@ def _class_sums_scan(c: DataFrame, qid: str, score: str, partitions: int) -> Dat
     return y.select(qid, score, "n", "above", "pairs", "block", "np")
 
 
+def _class_stats(counts: DataFrame, qid: str) -> tuple[int, int]:
+    """(most classes in one question, most answers in one class), one small job over the class counts."""
+    r = counts.groupBy(qid).agg(F.count(F.lit(1)).alias("_k"), F.max("n").alias("_m")).agg(
+        F.max("_k").alias("k"), F.max("_m").alias("m")).first()
+    return int(r["k"] or 0), int(r["m"] or 0)
+
+
+def _classes(answers: DataFrame, qid: str, score: str, scan_partitions: int | None, max_window_classes: int | None):
+    c = answers.groupBy(qid, score).agg(F.count(F.lit(1)).alias("n"))
+    limit = MAX_WINDOW_CLASSES if max_window_classes is None else max_window_classes
+    if scan_partitions is not None:
+        return _class_sums_scan(c, qid, score, scan_partitions), None
+    c = materialize(c, "class-counts")
+    widest, largest = _class_stats(c, qid)
+    if widest <= limit:
+        return _class_sums(c, qid, score), largest
+    parts = max(2, int(c.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return _class_sums_scan(c, qid, score, parts), largest
+
+
 def score_classes(answers: DataFrame, qid: str = "qid", score: str = "score", scan_partitions: int | None = None,
                   max_window_classes: int | None = None) -> DataFrame:
     """Per (question, score): ``n`` answers, ``above`` strictly better answers, first pair index ``block``,
@@ -112,15 +132,7 @@ def score_classes(answers: DataFrame, qid: str = "qid", score: str = "score", sc
     per question computes the sums; otherwise a range-partitioned prefix scan
     does, so a hot question with continuous scores is spread over many tasks.
     """
-    c = answers.groupBy(qid, score).agg(F.count(F.lit(1)).alias("n"))
-    limit = MAX_WINDOW_CLASSES if max_window_classes is None else max_window_classes
-    if scan_partitions is None:
-        c = materialize(c, "class-counts")
-        widest = c.groupBy(qid).agg(F.count(F.lit(1)).alias("k")).agg(F.max("k").alias("m")).first()["m"] or 0
-        if widest <= limit:
-            return _class_sums(c, qid, score)
-        scan_partitions = max(2, int(c.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return _class_sums_scan(c, qid, score, scan_partitions)
+    return _classes(answers, qid, score, scan_partitions, max_window_classes)[0]
 
 
 def pair_space(answers: DataFrame, qid: str = "qid", score: str = "score") -> DataFrame:
@@ -201,13 +213,12 @@ def sample_pairs(answers: DataFrame, k: int = MAX_PAIRS, seed=42, qid: str = "qi
     their lineage and keeps them from being recomputed in every branch.
     """
     a = drop_null_scores(answers.select(qid, aid, score), score)
-    classes = materialize(score_classes(a, qid, score), "pair-classes")
+    sums, largest = _classes(a, qid, score, None, None)
+    classes = materialize(sums, "pair-classes")
     picks = materialize(unrank(_draws(classes, qid, k, seed), classes, qid, score), "pair-picks")
     ends = picks.select(qid, "i", F.lit(0).alias("side"), F.col("score_b").alias(score), F.col("m_b").alias("m")).union(
         picks.select(qid, "i", F.lit(1).alias("side"), F.col("score_w").alias(score), F.col("m_w").alias("m")))
     wanted = classes.join(ends.select(qid, score).distinct(), [qid, score])
-    # The class table is already written: one small aggregate says whether any class needs salting.
-    largest = classes.agg(F.max("n").alias("m")).first()["m"] or 0
     salted = largest > RANK_TARGET
     ranked = rank_in_class(a, wanted, qid, aid, score, seed, salted=salted)
     if salted:
