@@ -25,3 +25,23 @@ def op10(spark, sf):
 
     groups = simhash_groups(table(spark, sf, "documents"))
     return groups.select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register("op1_quality_outliers")
+def op1(spark, sf):
+    from prefdata.llm.outliers import quality_outliers
+
+    return quality_outliers(table(spark, sf, "documents"))
+
+
+def _op3_sql():
+    from prefdata.llm.decontam import contamination_sql
+
+    return contamination_sql()
+
+
+@register("op3_benchmark_decontamination", _op3_sql())
+def op3(spark, sf):
+    from prefdata.llm.decontam import contamination
+
+    return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("key", "hit_words")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from prefdata.session import materialize
 from prefdata.sources.tables import table
 
-__all__ = ["SALTS", "hit_words", "materialize", "null_safe", "params_by_key", "shuffle_partitions", "table", "text_words"]
+__all__ = ["SALTS", "hit_words", "materialize", "null_safe", "params_by_key", "row_key", "shuffle_partitions", "table", "text_words"]
 
 #: Ways in which the rows of one key are spread in :func:`params_by_key`.
 SALTS = 16
@@ -21,15 +21,29 @@ PUNCT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Characters of SPACE and of PUNCT, to trim ends with.
+SPACE_CHARS = " \t\n\x0b\x0c\r"
+PUNCT_CHARS = "".join(chr(c) for c in range(128) if not (48 <= c <= 57 or 97 <= c <= 122))
+
+
+def _split(text: Column, chars: str, pattern: str) -> Column:
+    inner = F.btrim(text, F.lit(chars))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, pattern))
+
+
 def text_words(text: Column) -> Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+``; empty for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+    return _split(F.coalesce(text, F.lit("")), SPACE_CHARS, SPACE)
 
 
 def hit_words(text: Column) -> Column:
     """Array of the words of the text with A-Z lower-cased, split at ASCII punctuation; empty for null."""
-    low = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    return F.filter(F.split(low, PUNCT), lambda w: w != "")
+    return _split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), PUNCT_CHARS, PUNCT)
+
+
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """Key of a row by its id and text; rows that agree on both share it."""
+    return F.xxhash64(F.col(doc_id), F.xxhash64(text))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
