@@ -45,3 +45,10 @@ def op3(spark, sf):
     from prefdata.llm.decontam import contamination
 
     return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("key", "hit_words")
+
+
+@register("op5_personal_data")
+def op5(spark, sf):
+    from prefdata.llm.pii import personal_data
+
+    return personal_data(table(spark, sf, "documents"))
