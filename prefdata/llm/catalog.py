@@ -52,3 +52,17 @@ def op5(spark, sf):
     from prefdata.llm.pii import personal_data
 
     return personal_data(table(spark, sf, "documents"))
+
+
+@register("op6_quality_classifier")
+def op6(spark, sf):
+    from prefdata.llm.quality import quality_scores
+
+    return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register("op7_language_id")
+def op7(spark, sf):
+    from prefdata.llm.langid import languages
+
+    return languages(table(spark, sf, "documents"))
