@@ -66,3 +66,29 @@ def op7(spark, sf):
     from prefdata.llm.langid import languages
 
     return languages(table(spark, sf, "documents"))
+
+
+def _op8_sql():
+    from prefdata.llm.warc import round_trip_sql
+
+    return round_trip_sql()
+
+
+@register("op8_warc_writer", _op8_sql())
+def op8(spark, sf):
+    from prefdata.llm.warc import round_trip
+
+    return round_trip(table(spark, sf, "pages")).drop("url")
+
+
+def _op9_sql():
+    from prefdata.llm.mixing import calibrated_sql
+
+    return calibrated_sql()
+
+
+@register("op9_mix_to_targets", _op9_sql())
+def op9(spark, sf):
+    from prefdata.llm.mixing import calibrated
+
+    return calibrated(table(spark, sf, "documents")).withColumn("probability", F.round("probability", 6))
