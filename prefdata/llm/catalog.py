@@ -92,3 +92,10 @@ def op9(spark, sf):
     from prefdata.llm.mixing import calibrated
 
     return calibrated(table(spark, sf, "documents")).withColumn("probability", F.round("probability", 6))
+
+
+@register("op2_fuzzy_line_dedup")
+def op2(spark, sf):
+    from prefdata.llm.lines import dedup_lines
+
+    return dedup_lines(table(spark, sf, "documents")).select("doc_id", "text", "n_chars")
