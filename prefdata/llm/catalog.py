@@ -99,3 +99,10 @@ def op2(spark, sf):
     from prefdata.llm.lines import dedup_lines
 
     return dedup_lines(table(spark, sf, "documents")).select("doc_id", "text", "n_chars")
+
+
+@register("op4_secret_scan")
+def op4(spark, sf):
+    from prefdata.llm.secret_scan import secrets
+
+    return secrets(table(spark, sf, "documents"))

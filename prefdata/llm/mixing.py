@@ -10,7 +10,7 @@ from prefdata.llm.common import UPPER, materialize, params_by_key, text_words
 
 DIMS = ("source", "lang", "topic")
 #: Rounds over all marginals; exponent of a value's token share in the default targets; seed of the draw.
-ROUNDS, TEMPER, SEED = 6, 0.7, 42
+ROUNDS, TEMPER, SEED = 6, 0.9, 42
 SYMBOLS = "#*$%&|<>"
 
 
