@@ -89,10 +89,11 @@ c1 AS (SELECT *, CAST(coalesce(sum(n) OVER (PARTITION BY qid ORDER BY score DESC
 c AS (SELECT *, n * above AS pairs,
       CAST(coalesce(sum(n * above) OVER (PARTITION BY qid ORDER BY score DESC {prev}), 0) AS BIGINT) AS block FROM c1),
 q AS (SELECT qid, CAST(sum(pairs) AS BIGINT) AS np FROM c GROUP BY qid HAVING sum(pairs) > 0),
-d0 AS (SELECT qid, np, least(np, {k}) AS k, unnest(range(least(np, {k}))) AS i FROM q),
-d1 AS (SELECT qid, i, i * (np // k) + (i * (np % k)) // k AS lo,
-       (i + 1) * (np // k) + ((i + 1) * (np % k)) // k AS hi FROM d0),
-d AS (SELECT qid, i, lo + {sql_hnum(sql_h(seed, "'draw'", 'qid', 'i'))} % (hi - lo) AS idx FROM d1),
+d0 AS (SELECT qid, np, unnest(range(least(np, {k}))) AS i, np - least(np, {k}) AS base FROM q),
+d1 AS (SELECT qid, list([base + i, {sql_hnum(sql_h(seed, "'draw'", 'qid', 'i'))} % (base + i + 1)] ORDER BY i) AS ts FROM d0 GROUP BY qid),
+d2 AS (SELECT qid, list_reduce(ts, lambda acc, x: list_append(acc, CASE WHEN list_contains(acc, x[2]) THEN x[1] ELSE x[2] END),
+       CAST([] AS BIGINT[])) AS s FROM d1),
+d AS (SELECT qid, unnest(range(len(s))) AS i, unnest(s) AS idx FROM d2),
 x AS (SELECT d.qid, d.i, c.score AS score_w, (d.idx - c.block) // c.above AS m_w, (d.idx - c.block) % c.above AS bp
       FROM d JOIN c ON c.qid = d.qid AND d.idx >= c.block AND d.idx < c.block + c.pairs),
 y AS (SELECT x.qid, x.i, x.score_w, x.m_w, c.score AS score_b, x.bp - c.above AS m_b
@@ -204,14 +205,14 @@ def q_filter_strict(spark, sf):
 
 def _qa_pairs_with_text(spark, sf):
     qa = _qa_src(spark, sf)
-    questions = qa.select("qid", "question").dropDuplicates(["qid"])
+    questions = FX.qa_questions(spark, sf)
     ids = P.sample_pairs(qa)
     out = P.attach_texts(ids, qa, questions, clean=lambda c: TX.strip_text(TX.collapse_blank_lines(c)))
     return out.withColumn("question", TX.strip_text(TX.collapse_blank_lines("question")))
 
 
-SQL_QA_PAIRS_TEXT = _with(FX.SQL_QA_ANSWERS, QA_SRC, sql_sample_pairs("qa_src")) + f""",
-qtext AS (SELECT DISTINCT qid, question FROM qa_answers),
+SQL_QA_PAIRS_TEXT = _with(FX.SQL_QA_QUESTIONS, FX.SQL_QA_ANSWERS, QA_SRC, sql_sample_pairs("qa_src")) + f""",
+qtext AS (SELECT qid, question FROM qa_questions),
 atext AS (SELECT aid, text FROM qa_answers),
 pairs_text AS (
   SELECT s.qid, s.pair_no, s.aid_j, s.aid_k, {sql_clean('q.question')} AS question,

@@ -219,9 +219,9 @@ def html_to_markdown(code_language: Callable[[dict], str | None] = default_code_
 
 
 def markdown_once(df: DataFrame, html: str, out: str = "markdown", fn: Callable[[Column], Column] | None = None) -> DataFrame:
-    """Convert each distinct text once and join the result back on its hash."""
+    """Convert each distinct text once and join the result back on its hash; a null text stays null."""
     fn = fn or html_to_markdown()
     keyed = df.withColumn("_th", F.sha2(F.col(html), 256))
-    distinct = keyed.select("_th", html).dropDuplicates(["_th"])
+    distinct = keyed.filter(F.col("_th").isNotNull()).select("_th", html).dropDuplicates(["_th"])
     converted = distinct.select("_th", fn(F.col(html)).alias(out))
-    return keyed.join(converted, "_th").drop("_th")
+    return keyed.join(converted, "_th", "left").drop("_th")

@@ -49,8 +49,12 @@ def _field(name: str):
 
 
 def first_batches(batched: DataFrame, n_batches: int, n_shards: int) -> DataFrame:
-    """L3: stop after ``n_batches`` batches; batches are taken round-robin over shards."""
-    return batched.filter(F.col("batch_id") * n_shards + F.col("shard") < n_batches)
+    """L3: stop after ``n_batches`` batches; batches are taken round-robin over shards.
+
+    Only the first ``n_batches`` shards can hold one; that part of the filter
+    reaches below the window, so other shards are not shuffled or sorted.
+    """
+    return batched.filter(F.col("shard") < n_batches).filter(F.col("batch_id") * n_shards + F.col("shard") < n_batches)
 
 
 def length_draw(keys: list[str], seed=42, low: int = MIN_GEN_LENGTH, high: int = MAX_GEN_LENGTH) -> Column:

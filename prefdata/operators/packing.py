@@ -78,6 +78,8 @@ def repeat_epochs(df: DataFrame, n_epochs: int, out: str = "epoch") -> DataFrame
     """The data ``n_epochs`` times with an ``epoch`` column (finite, unlike an infinite iterator).
 
     A generator on each row, not a cross join; put ``epoch`` in the order key so
-    each pass is shuffled differently.
+    each pass is shuffled differently.  No epochs give no rows.
     """
+    if n_epochs <= 0:
+        return df.filter(F.lit(False)).withColumn(out, F.lit(0))
     return df.withColumn(out, F.explode(F.sequence(F.lit(0), F.lit(n_epochs - 1))))

@@ -14,9 +14,9 @@ never enumerated.  It is indexed instead:
   so index ``idx`` names worse member ``(idx-block_s) div above_s`` of class
   ``s`` and better answer number ``(idx-block_s) mod above_s`` in
   (score desc, member) order;
-* ``k = min(10, NP)`` indices are drawn, one uniformly from each of ``k`` equal
-  strata of ``[0, NP)`` with the keyed hash ``h(seed, qid, i)``, so they are
-  distinct and exactly ``k`` (all pairs when ``NP <= 10``);
+* ``k = min(10, NP)`` indices are drawn by Floyd's subset method with the keyed
+  hash ``h(seed, qid, i)``: every subset of ``k`` pairs is equally likely, as
+  in a draw without replacement (all pairs when ``NP <= 10``);
 * members of a class are numbered by ``(h(seed, qid, aid), aid)``.
 
 Only the per-class table (one row per question and score) and ``k`` draws per
@@ -149,11 +149,15 @@ def _draws(classes: DataFrame, qid: str, k: int, seed) -> DataFrame:
     # The best class of each question (above = 0) carries the question's pair count: no aggregate needed.
     q = classes.filter((F.col("above") == 0) & (F.col("np") > 0)).select(qid, "np")
     q = q.withColumn("k", F.least(F.col("np"), F.lit(k)))
-    d = q.select(qid, "np", "k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("i"))
-    # Stratum i is [floor(i*np/k), floor((i+1)*np/k)), computed without overflowing i*np.
-    lo = F.expr("i * (np div k) + (i * (np % k)) div k")
-    hi = F.expr("(i + 1) * (np div k) + ((i + 1) * (np % k)) div k")
-    return d.select(qid, "i", (lo + hnum(h(seed, F.lit("draw"), qid, "i")) % (hi - lo)).alias("idx"))
+    # Floyd's k-subset: the i-th draw is uniform over [0, np - k + i]; an index already taken gives way to the top one.
+    def draw(taken, i):
+        top = F.col("np") - F.col("k") + i
+        t = hnum(h(seed, F.lit("draw"), qid, i)) % (top + 1)
+        return F.concat(taken, F.array(F.when(F.array_contains(taken, t), top).otherwise(t)))
+
+    steps = F.sequence(F.lit(0).cast("long"), F.col("k") - 1)
+    taken = F.aggregate(steps, F.array().cast("array<bigint>"), draw)
+    return q.select(qid, F.posexplode(taken).alias("i", "idx")).select(qid, F.col("i").cast("long").alias("i"), "idx")
 
 
 def unrank(draws: DataFrame, classes: DataFrame, qid: str, score: str) -> DataFrame:
@@ -243,10 +247,13 @@ def attach_texts(pairs: DataFrame, answers: DataFrame, questions: DataFrame, qid
     """Repeat the question's columns on each pair and add ``response_j`` / ``response_k``.
 
     Answers are matched on (question, answer id): an answer id need only be
-    unique inside its question (a position in a nested thread is).  ``clean``
-    (a Column function) runs once per answer, not once per pair.
+    unique inside its question (a position in a nested thread is).  Only the
+    drawn answers are fetched; ``clean`` (a Column function) runs once on each.
     """
-    t = answers.select(qid, aid, (clean(F.col(text)) if clean else F.col(text)).alias("_t"))
+    drawn = pairs.select(qid, F.col("aid_j").alias(aid)).unionByName(pairs.select(qid, F.col("aid_k").alias(aid))).distinct()
+    t = answers.select(qid, aid, F.col(text).alias("_t")).join(drawn, [qid, aid])
+    if clean:
+        t = materialize(t.select(qid, aid, clean(F.col("_t")).alias("_t")), "pair-texts")
     p = pairs.join(t.select(qid, F.col(aid).alias("aid_j"), F.col("_t").alias("response_j")), [qid, "aid_j"])
     p = p.join(t.select(qid, F.col(aid).alias("aid_k"), F.col("_t").alias("response_k")), [qid, "aid_k"])
     return p.join(questions, qid)

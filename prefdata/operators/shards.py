@@ -22,13 +22,15 @@ SHARD_BYTES = 1000 << 20
 
 
 def row_bytes(df: DataFrame, exclude: tuple[str, ...] = ()) -> Column:
-    """Estimated stored bytes of a row: UTF-8 length of strings, 8 per other column."""
+    """Estimated stored bytes of a row: UTF-8 length of strings, 8 per array element and per other column."""
     parts = []
     for f in df.schema.fields:
         if f.name in exclude:
             continue
         if isinstance(f.dataType, T.StringType):
             parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)).cast("long"))
+        elif isinstance(f.dataType, T.ArrayType):
+            parts.append(F.greatest(F.coalesce(F.size(F.col(f.name)), F.lit(0)), F.lit(0)).cast("long") * 8)
         else:
             parts.append(F.lit(8).cast("long"))
     out = parts[0] if parts else F.lit(0).cast("long")

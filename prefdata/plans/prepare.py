@@ -1,7 +1,7 @@
 """Plan A: scored Q&A threads -> exact split by question -> capped pairs -> cleaned text -> sharded Parquet.
 
-One lazy plan per split; the only actions are the small reads of the cut
-positions, the two checkpoints inside the pair sampler, and the sink.
+Actions on the way: the small reads of the cut positions, the scratch tables of
+the pair sampler and of the drawn texts, and the sink.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from prefdata.operators import pairs as P
 from prefdata.operators import split as S
 from prefdata.operators.prompts import qa_text
 from prefdata.operators.shards import SHARD_BYTES, split_and_shard
+from prefdata.session import materialize
 from prefdata.sources import fixtures as FX
 from prefdata.sources.sinks import write_sharded
 
@@ -50,7 +51,7 @@ def write_prepared(pairs: DataFrame, path: str, key: str = "pair_key", seed=42,
     Pairs keep the split of their question; shards are contiguous in the seeded
     order of ``key`` inside each split.
     """
-    keyed = pairs.withColumn(key, F.concat_ws("-", "qid", "pair_no"))
+    keyed = materialize(pairs.withColumn(key, F.concat_ws("-", "qid", "pair_no")), "prepared")
     parts = []
     for name in S.SPLIT_NAMES:
         one = keyed.filter(F.col("split") == name).drop("split")
@@ -65,7 +66,7 @@ def write_prepared(pairs: DataFrame, path: str, key: str = "pair_key", seed=42,
 def paired_split_counts(spark: SparkSession, sf_dir: str, seed=42) -> DataFrame:
     """Flagship: fixture Q&A -> split by question -> capped pairs -> P4 text -> per split counts."""
     qa = FX.qa_answers(spark, sf_dir).withColumnRenamed("pm_score", "score")
-    questions = qa.select("qid", "question").dropDuplicates(["qid"])
+    questions = FX.qa_questions(spark, sf_dir)
     pairs = paired_splits(qa, questions, seed)
     text = qa_text("question", "response_j")
     return pairs.groupBy("split").agg(

@@ -43,8 +43,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    It is read from the session.  Only when it is unset (local tests) a fresh
-    folder under the system temp directory is created and registered.
+    It is read from the session.  Only a local session (tests) may leave it
+    unset: then a fresh folder under the system temp directory is registered.
     """
     try:
         sc = spark.sparkContext
@@ -52,6 +52,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     root = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getConf().get(CHECKPOINT_CONF, None) if sc else None)
     if not root:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="prefdata-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     if sc is not None and sc.getCheckpointDir() is None:

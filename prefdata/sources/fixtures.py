@@ -3,8 +3,9 @@
 Each view has a Spark definition and the same derivation as DuckDB SQL (used
 as a CTE by the oracles), so both engines start from identical rows.
 
-* ``qa_answers(qid, question, aid, text, pm_score)`` - labelled documents are
-  answers to ``benchmark`` item ``doc_id % 40``; the score is ``quality``.
+* ``qa_questions(qid, question)`` - the ``benchmark`` items, numbered from 0.
+* ``qa_answers(qid, aid, text, pm_score)`` - labelled documents are answers to
+  item ``doc_id % (number of items)``; the score is ``quality``.
 * ``qa_turns(conv_id, turn, question, answer)`` - a user turn and the assistant
   turn right after it (turns are consecutive per conversation).
 * ``order_lines`` / ``supplier_lines`` - ``lineitem`` as answers grouped by order
@@ -21,22 +22,25 @@ from pyspark.sql import functions as F
 from prefdata.functions.tokens import TOKEN_PATTERN, tokens
 from prefdata.sources.tables import table
 
-# Fixed values of the fixture derivations.
-QUESTIONS = 40
+def qa_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("question"))
+
+
+SQL_QA_QUESTIONS = "qa_questions AS (SELECT item_id AS qid, text AS question FROM benchmark)"
 
 
 def qa_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The question is a function of the answer's id, so no join moves a text to its question."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("question"))
-    a = d.join(lab, "doc_id").withColumn("qid", F.col("doc_id") % QUESTIONS)
-    return a.join(b, "qid").select("qid", "question", F.col("doc_id").alias("aid"), "text",
-                                   F.col("quality").alias("pm_score"))
+    n = max(1, table(spark, sf_dir, "benchmark").count())
+    return d.join(lab, "doc_id").select((F.col("doc_id") % n).alias("qid"), F.col("doc_id").alias("aid"), "text",
+                                        F.col("quality").alias("pm_score"))
 
 
-SQL_QA_ANSWERS = f"""qa_answers AS (
-  SELECT b.item_id AS qid, b.text AS question, d.doc_id AS aid, d.text AS text, l.quality AS pm_score
-  FROM documents d JOIN labels l ON l.doc_id = d.doc_id JOIN benchmark b ON b.item_id = d.doc_id % {QUESTIONS})"""
+SQL_QA_ANSWERS = """qa_answers AS (
+  SELECT d.doc_id % (SELECT count(*) FROM benchmark) AS qid, d.doc_id AS aid, d.text AS text, l.quality AS pm_score
+  FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"""
 
 
 def qa_turns(spark: SparkSession, sf_dir: str) -> DataFrame:

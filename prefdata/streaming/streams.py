@@ -104,12 +104,16 @@ def _sink_schema(df: DataFrame, partition_by):
 
 
 def shuffle_each_batch(df: DataFrame, key: str, path: str, checkpoint: str, seed=42):
-    """O2: a buffered shuffle - each micro-batch is written in keyed-hash order (``foreachBatch``)."""
+    """O2: a buffered shuffle - each micro-batch is written in keyed-hash order (``foreachBatch``).
+
+    A batch has a folder of its own (``batch=<id>``) that a replay overwrites,
+    so a restart from ``checkpoint`` neither loses nor repeats rows.
+    """
 
     def write(batch: DataFrame, epoch_id: int):
         # each output partition is a random subset in random order; no task holds the whole batch
         (batch.withColumn("_o", h(seed, F.lit(epoch_id), key)).repartition("_o").sortWithinPartitions("_o")
-         .drop("_o").write.mode("append").parquet(path))
+         .drop("_o").write.mode("overwrite").parquet(f"{path}/batch={epoch_id}"))
 
     return (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

