@@ -269,22 +269,26 @@ def q_vocab(spark, sf):
     return _docs_vocab(spark, sf)[1]
 
 
-@register("encode", _with(FX.SQL_DOC_TOKENS, SQL_VOCAB, SQL_DOC_UNNEST) + """
-SELECT d.doc_id, CAST(coalesce(x.n_ids, 0) AS INTEGER) AS n_ids, coalesce(x.ids, '') AS ids
-FROM documents d LEFT JOIN (
-  SELECT u.doc_id, count(*) AS n_ids, string_agg(CAST(coalesce(v.id, 2) AS VARCHAR), ',' ORDER BY u.pos) AS ids
-  FROM u LEFT JOIN vocab v ON v.token = u.t GROUP BY u.doc_id) x ON x.doc_id = d.doc_id""")
+#: A token outside the vocabulary: the byte of a space, then its UTF-8 bytes, each as MAX_VOCAB + byte.
+SQL_SPELLED = f"""array_to_string(list_prepend({V.MAX_VOCAB + 32}, list_transform(range(strlen(u.t)), lambda i:
+    {V.MAX_VOCAB} + 16 * (strpos('0123456789ABCDEF', substr(hex(encode(u.t)), 2 * i + 1, 1)) - 1)
+    + strpos('0123456789ABCDEF', substr(hex(encode(u.t)), 2 * i + 2, 1)) - 1)), ',')"""
+SQL_ENCODED = f"""encoded AS (
+  SELECT d.doc_id, CAST(coalesce(x.n_ids, 0) AS INTEGER) AS n_ids, coalesce(x.ids, '') AS ids
+  FROM documents d LEFT JOIN (
+    SELECT u.doc_id, sum(CASE WHEN v.id IS NULL THEN 1 + strlen(u.t) ELSE 1 END) AS n_ids,
+           string_agg(CASE WHEN v.id IS NULL THEN {SQL_SPELLED} ELSE CAST(v.id AS VARCHAR) END, ',' ORDER BY u.pos) AS ids
+    FROM u LEFT JOIN vocab v ON v.token = u.t GROUP BY u.doc_id) x ON x.doc_id = d.doc_id)"""
+
+
+@register("encode", _with(FX.SQL_DOC_TOKENS, SQL_VOCAB, SQL_DOC_UNNEST, SQL_ENCODED) + "SELECT doc_id, n_ids, ids FROM encoded")
 def q_encode(spark, sf):
     docs, vocab = _docs_vocab(spark, sf)
     enc = docs.select("doc_id", V.encoder(vocab)("text").alias("ids"))
     return enc.select("doc_id", F.size("ids").alias("n_ids"), F.array_join("ids", ",").alias("ids"))
 
 
-@register("decode", _with(FX.SQL_DOC_TOKENS, SQL_VOCAB, SQL_DOC_UNNEST) + """
-SELECT d.doc_id, coalesce(x.text, '') AS text
-FROM documents d LEFT JOIN (
-  SELECT u.doc_id, string_agg(v.token, ' ' ORDER BY u.pos) AS text
-  FROM u JOIN vocab v ON v.token = u.t GROUP BY u.doc_id) x ON x.doc_id = d.doc_id""")
+@register("decode", _with(FX.SQL_DOC_TOKENS) + "SELECT doc_id, array_to_string(toks, ' ') AS text FROM doc_tokens")
 def q_decode(spark, sf):
     docs, vocab = _docs_vocab(spark, sf)
     enc = docs.select("doc_id", V.encoder(vocab)("text").alias("ids"))
@@ -304,8 +308,8 @@ def q_chars_per_token(spark, sf):
     return V.chars_per_token(S.first_n(docs, "doc_id", RATIO_ROWS, SEED), "text")
 
 
-@register("append_eos", _with(FX.SQL_DOC_TOKENS) +
-          "SELECT doc_id, CAST(len(toks) + 1 AS INTEGER) AS n_ids, 1 AS last_id FROM doc_tokens")
+@register("append_eos", _with(FX.SQL_DOC_TOKENS, SQL_VOCAB, SQL_DOC_UNNEST, SQL_ENCODED) +
+          "SELECT doc_id, CAST(n_ids + 1 AS INTEGER) AS n_ids, 1 AS last_id FROM encoded")
 def q_append_eos(spark, sf):
     docs, vocab = _docs_vocab(spark, sf)
     ids = V.with_eos(V.encoder(vocab)("text"))

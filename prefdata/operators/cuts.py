@@ -36,6 +36,8 @@ FETCH_MAX = 1_000_000
 # Most buckets refined in one level; beyond it the cut buckets are ranked directly.
 REFINE_MAX = 16
 CASE_MAX = 64
+# Most thresholds in the broadcast table of cuts (about 100 bytes each).
+MAX_CUTS = 1_000_000
 # Marker thresholds: a cut at or before position 0 (every row is past it) and a cut
 # at or past the end (no row reaches it).
 BEFORE_ALL = "before-all"
@@ -154,33 +156,40 @@ def interval_index(hcol: str, kcol: str, thresholds) -> Column:
     return out.cast("int")
 
 
-def _bucket_table(spark, hist, thresholds, key_type) -> DataFrame:
+def bucket_rows(hist, thresholds) -> list[tuple]:
     """Per 4-digit bucket: thresholds strictly before it and those inside it (<= 65,536 rows)."""
     before = sum(1 for t in thresholds if t == BEFORE_ALL)
     real = sorted(t for t in thresholds if t not in (BEFORE_ALL, AFTER_ALL))
     rows, j = [], 0
-    for b, _ in hist:
+    for b, _ in hist:  # one merge pass: both lists are sorted
         while j < len(real) and real[j][0][:BUCKET_DIGITS] < b:
             j += 1
-        base = before + j
-        inner = [(th, tk) for th, tk in real if th[:BUCKET_DIGITS] == b]
-        rows.append((b, base, inner))
+        k = j
+        while k < len(real) and real[k][0][:BUCKET_DIGITS] == b:
+            k += 1
+        rows.append((b, before + j, real[j:k]))
+    return rows
+
+
+def _bucket_table(spark, hist, thresholds, key_type) -> DataFrame:
     schema = T.StructType([
         T.StructField("_b", T.StringType()),
         T.StructField("_base", T.IntegerType()),
         T.StructField("_inner", T.ArrayType(T.StructType([
             T.StructField("th", T.StringType()), T.StructField("tk", key_type)]))),
     ])
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(bucket_rows(hist, thresholds), schema)
 
 
 def apply_thresholds(df: DataFrame, hcol: str, kcol: str, thresholds, hist, out: str) -> DataFrame:
     """Add ``out`` = interval index; a map-only CASE for few cuts, a bounded broadcast join for many."""
     if len(thresholds) <= CASE_MAX:
         return df.withColumn(out, interval_index(hcol, kcol, thresholds))
+    if len(thresholds) > MAX_CUTS:
+        raise ValueError(f"{len(thresholds)} cuts: more than {MAX_CUTS} are not broadcast; use larger shards")
     key_type = df.schema[kcol].dataType
     table = _bucket_table(df.sparkSession, hist, thresholds, key_type)
-    # The table has one row per histogram bucket (at most 16**BUCKET_DIGITS): safe to broadcast.
+    # One row per histogram bucket (at most 16**BUCKET_DIGITS), all of them hold MAX_CUTS thresholds at most.
     joined = df.withColumn("_b", F.substring(hcol, 1, BUCKET_DIGITS)).join(F.broadcast(table), "_b", "left")
     inside = F.size(F.filter("_inner", lambda t: (t["th"] < F.col(hcol)) | ((t["th"] == F.col(hcol)) & (t["tk"] <= F.col(kcol)))))
     return joined.withColumn(out, (F.col("_base") + inside).cast("int")).drop("_b", "_base", "_inner")

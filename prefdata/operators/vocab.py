@@ -4,14 +4,15 @@ The reference downloads a pretrained tokenizer; none is available here, so the
 vocabulary is built from the corpus: whitespace tokens counted with a partial
 aggregate, the ``max_size`` most frequent kept (ties by token).  Its size is
 bounded by ``max_size``, which is what makes it safe to ship to every task.
-Encoding is an Arrow-batched pandas UDF over that dictionary: map-only, no
-token explode, no shuffle.  Any other tokenizer plugs in via :func:`tokenize_with`.
+Encoding is an Arrow UDF over that dictionary: map-only, no token explode, no
+shuffle; tokens beyond it are spelled in bytes, so decoding gives every token back.  Any other tokenizer plugs in via :func:`tokenize_with`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefdata.functions.tokens import EOS_ID, SPECIAL_TOKENS, UNK_ID, append_token, token_count, tokens
+from prefdata.functions.tokens import EOS_ID, SPECIAL_TOKENS, append_token, token_count, tokens
 from prefdata.session import materialize
 
 MAX_VOCAB = 32000
@@ -59,53 +60,65 @@ def _vocab_dict(vocab: DataFrame, max_size: int) -> dict[str, int]:
 
 
 def encoder(vocab: DataFrame, max_size: int = MAX_VOCAB) -> Callable[[Column], Column]:
-    """A Column function ``text -> array<int>`` (unknown tokens -> ``<unk>``).
+    """A Column function ``text -> array<int>``; no token is lost.
 
-    An Arrow UDF: each batch is split with ``str.split()`` and looked up in
-    one vectorized ``index_in`` against the (bounded) vocabulary; the result
-    list array is built from offsets, with no per-token Python objects on the
-    way back.
+    A token outside the vocabulary becomes the byte of a space and then its
+    UTF-8 bytes, byte ``b`` as id ``max_size + b``; no token holds a space, so
+    :func:`decoder` finds where each begins.  Splitting is native; the Arrow
+    UDF looks a whole batch up at once and builds its lists from offsets.
     """
     spark = vocab.sparkSession
     table = spark.sparkContext.broadcast(_vocab_dict(vocab, max_size))
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def encode(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lookup = table.value
         keys = pa.array(list(lookup.keys()), type=pa.string())
-        ids = pa.array(list(lookup.values()), type=pa.int32())
-        for arr in texts:
-            rows = arr.to_pylist()
-            split = [None if t is None else t.split() for t in rows]
-            offsets, flat, total = [0], [], 0
-            for toks in split:
-                if toks:
-                    flat.extend(toks)
-                    total += len(toks)
-                offsets.append(total)
-            pos = pc.index_in(pa.array(flat, type=pa.string()), value_set=keys)
-            values = pc.fill_null(pc.take(ids, pos), pa.scalar(UNK_ID, pa.int32()))
-            mask = pa.array([t is None for t in rows])
-            yield pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), values, mask=mask)
-
-    return encode
+        ids = np.array([*lookup.values(), 0], np.int32)
+        for arr in lists:
+            size = pc.fill_null(pc.list_value_length(arr), 0).to_numpy(zero_copy_only=False)
+            flat = arr.flatten()
+            at = pc.fill_null(pc.index_in(flat, value_set=keys), -1).to_numpy(zero_copy_only=False)
+            unknown = at < 0
+            raw = flat.filter(pa.array(unknown)).cast(pa.binary())
+            n_bytes = pc.binary_length(raw).to_numpy(zero_copy_only=False).astype(np.int64)
+            width = np.ones(len(at), np.int64)
+            width[unknown] += n_bytes
+            start = np.concatenate([[0], np.cumsum(width)])
+            out = np.empty(start[-1], np.int32)
+            out[start[:-1]] = np.where(unknown, max_size + ord(" "), ids[at])
+            spelled = np.frombuffer(b"".join(raw.to_pylist()), np.uint8)
+            before = np.cumsum(n_bytes) - n_bytes
+            out[np.repeat(start[:-1][unknown] + 1 - before, n_bytes) + np.arange(len(spelled))] = max_size + spelled.astype(np.int32)
+            offsets = start[np.concatenate([[0], np.cumsum(size)])]
+            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out), mask=arr.is_null())
+
+    return lambda text: encode(tokens(text))
 
 
 def decoder(vocab: DataFrame, max_size: int = MAX_VOCAB, skip_special: bool = True) -> Callable[[Column], Column]:
-    """A Column function ``array<int> -> text``; special tokens skipped, tokens joined by one space."""
+    """A Column function ``array<int> -> text``; special tokens skipped, tokens joined by one space.
+
+    Ids of no token are skipped; bytes that a truncation cut apart become U+FFFD.
+    """
     spark = vocab.sparkSession
-    words = {i: t for t, i in _vocab_dict(vocab, max_size).items()}
+    pieces = {i: f" {t}".encode() for t, i in _vocab_dict(vocab, max_size).items()}
     if not skip_special:
-        words.update({i: t for i, t in enumerate(SPECIAL_TOKENS)})
-    table = spark.sparkContext.broadcast(words)
-
-    @F.pandas_udf(T.StringType())
-    def decode(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lookup = table.value
-        for s in ids:
-            yield s.map(lambda a: None if a is None else " ".join(lookup[i] for i in a if i in lookup))
-
-    return decode
+        pieces.update({i: f" {t}".encode() for i, t in enumerate(SPECIAL_TOKENS)})
+    pieces.update({max_size + b: bytes([b]) for b in range(256)})
+    table = spark.sparkContext.broadcast(pieces)
+
+    @F.arrow_udf(T.BinaryType())
+    def decode(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        keys = pa.array(list(table.value.keys()), pa.int32())
+        values = pa.array(list(table.value.values()), pa.binary())
+        for arr in lists:
+            size = pc.fill_null(pc.list_value_length(arr), 0).to_numpy(zero_copy_only=False)
+            flat = pc.fill_null(pc.take(values, pc.index_in(arr.flatten().cast(pa.int32()), value_set=keys)), b"")
+            offsets = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
+            yield pc.binary_join(pa.ListArray.from_arrays(offsets, flat, mask=arr.is_null()), b"")
+
+    return lambda ids: F.ltrim(F.make_valid_utf8(decode(ids).cast("string")))
 
 
 def tokenize_with(factory: Callable[[], Callable[[str], list[int]]]) -> Callable[[Column], Column]:

@@ -75,3 +75,18 @@ def test_many_cuts_with_big_buckets_rank_directly(spark, monkeypatch):
     order = sorted(range(n), key=lambda k: (df_hash(k), k))
     for pos, k in enumerate(order):
         assert got[k] == sum(1 for c in cut_list if pos >= c)
+
+
+def test_bucket_rows_of_many_cuts_in_one_pass():
+    import time
+
+    hist = [(f"{b:04x}", 100) for b in range(65536)]
+    at = [(f"{i * 65536 // 100_000:04x}{i:028x}", i) for i in range(100_000)]
+    start = time.monotonic()
+    rows = cuts.bucket_rows(hist, [cuts.BEFORE_ALL, *at, cuts.AFTER_ALL])
+    assert time.monotonic() - start < 5
+    assert len(rows) == 65536 and [t for _, _, inner in rows for t in inner] == at
+    seen = 1
+    for b, base, inner in rows:
+        assert base == seen and all(th.startswith(b) for th, _ in inner)
+        seen += len(inner)
