@@ -169,10 +169,18 @@ def _turns(spark, sf):
     return FX.qa_turns(spark, sf)
 
 
-@register("prompt_question", _with(FX.SQL_QA_TURNS) +
-          f"SELECT conv_id, turn, {SQL_Q} || question || {SQL_A} AS query FROM qa_turns")
+def _questions(spark, sf):
+    return FX.user_turns(spark, sf)
+
+
+#: A limit that some prompts of the tables exceed.
+PROMPT_LIMIT = 32
+
+
+@register("prompt_question", _with(FX.SQL_USER_TURNS) +
+          f"SELECT conv_id, turn, {SQL_Q} || question || {SQL_A} AS query FROM user_turns")
 def q_prompt_question(spark, sf):
-    return _turns(spark, sf).select("conv_id", "turn", PR.question_prompt("question").alias("query"))
+    return _questions(spark, sf).select("conv_id", "turn", PR.question_prompt("question").alias("query"))
 
 
 @register("prompt_qa", _with(FX.SQL_QA_TURNS) +
@@ -181,11 +189,11 @@ def q_prompt_qa(spark, sf):
     return _turns(spark, sf).select("conv_id", "turn", PR.qa_text("question", "answer").alias("text"))
 
 
-@register("prompt_prefixed", _with(FX.SQL_QA_TURNS) +
+@register("prompt_prefixed", _with(FX.SQL_USER_TURNS) +
           f"SELECT conv_id, turn, {' || '.join(TX.sql_literal(p) for p in PREFIXES)} || {SQL_Q} || question || {SQL_A}"
-          " AS query FROM qa_turns")
+          " AS query FROM user_turns")
 def q_prompt_prefixed(spark, sf):
-    return _turns(spark, sf).select(
+    return _questions(spark, sf).select(
         "conv_id", "turn", PR.add_prefixes(PR.question_prompt("question"), PREFIXES).alias("query"))
 
 
@@ -196,11 +204,11 @@ def q_query_response(spark, sf):
     return t.select("conv_id", "turn", PR.query_response(PR.question_prompt("question"), "answer").alias("text"))
 
 
-@register("filter_strict", _with(FX.SQL_QA_TURNS) + f"""SELECT conv_id, turn, n_tokens FROM (
-  SELECT conv_id, turn, {sql_ntok(f"{SQL_Q} || question || {SQL_A}")} AS n_tokens FROM qa_turns) WHERE n_tokens < 512""")
+@register("filter_strict", _with(FX.SQL_USER_TURNS) + f"""SELECT conv_id, turn, n_tokens FROM (
+  SELECT conv_id, turn, {sql_ntok(f"{SQL_Q} || question || {SQL_A}")} AS n_tokens FROM user_turns) WHERE n_tokens < {PROMPT_LIMIT}""")
 def q_filter_strict(spark, sf):
-    t = _turns(spark, sf).select("conv_id", "turn", PR.question_prompt("question").alias("query"))
-    return PR.filter_shorter(t, "query", 512, out="n_tokens").select("conv_id", "turn", "n_tokens")
+    t = _questions(spark, sf).select("conv_id", "turn", PR.question_prompt("question").alias("query"))
+    return PR.filter_shorter(t, "query", PROMPT_LIMIT, out="n_tokens").select("conv_id", "turn", "n_tokens")
 
 
 def _qa_pairs_with_text(spark, sf):
@@ -288,6 +296,23 @@ def q_encode(spark, sf):
     return enc.select("doc_id", F.size("ids").alias("n_ids"), F.array_join("ids", ",").alias("ids"))
 
 
+SQL_PROMPT_TOKENS = f"""prompts AS (SELECT row_number() OVER (ORDER BY conv_id, turn) AS doc_id, conv_id, turn, query,
+  regexp_extract_all(query, '{TOKEN_PATTERN}') AS toks
+  FROM (SELECT conv_id, turn, {SQL_Q} || text || {SQL_A} AS query FROM conversations WHERE role = 'user')
+  WHERE {sql_ntok('query')} < {PROMPT_LIMIT}),
+doc_tokens AS (SELECT doc_id, toks FROM prompts)"""
+
+
+@register("prompt_dataset", _with(SQL_PROMPT_TOKENS, SQL_VOCAB, SQL_DOC_UNNEST, SQL_ENCODED.replace("FROM documents d", "FROM prompts d")) + """
+SELECT p.conv_id, p.turn, p.query, e.ids AS input_ids, e.n_ids FROM prompts p JOIN encoded e ON e.doc_id = p.doc_id""")
+def q_prompt_dataset(spark, sf):
+    """The prompt dataset: queries under the limit and their ids (vocabulary of the kept prompts)."""
+    p = _questions(spark, sf).select("conv_id", "turn", PR.question_prompt("question").alias("query"))
+    p = PR.filter_shorter(p, "query", PROMPT_LIMIT)
+    ids = p.withColumn("ids", V.encoder(V.build_vocab(p, "query"))("query"))
+    return ids.select("conv_id", "turn", "query", F.array_join("ids", ",").alias("input_ids"), F.size("ids").alias("n_ids"))
+
+
 @register("decode", _with(FX.SQL_DOC_TOKENS) + "SELECT doc_id, array_to_string(toks, ' ') AS text FROM doc_tokens")
 def q_decode(spark, sf):
     docs, vocab = _docs_vocab(spark, sf)
@@ -395,19 +420,19 @@ br AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY o, {k}) - 1 AS r
 batched AS (SELECT * EXCLUDE (o, r), CAST(r // {BATCH} AS INTEGER) AS batch_id, CAST(r % {BATCH} AS INTEGER) AS pos FROM br)"""
 
 
-def _batched_turns(spark, sf):
-    t = _turns(spark, sf)
+def _batched_turns(spark, sf, source=FX.user_turns):
+    t = source(spark, sf)
     n = B.shard_count(t, SHARD_ROWS)
     return B.assign_batches(t, ["conv_id", "turn"], BATCH, n, SEED), n
 
 
-@register("batches", _with(FX.SQL_QA_TURNS, sql_batches("qa_turns", ["conv_id", "turn"])) +
+@register("batches", _with(FX.SQL_USER_TURNS, sql_batches("user_turns", ["conv_id", "turn"])) +
           "SELECT conv_id, turn, shard, batch_id, pos FROM batched")
 def q_batches(spark, sf):
     return _batched_turns(spark, sf)[0].select("conv_id", "turn", "shard", "batch_id", "pos")
 
 
-@register("collate_lists", _with(FX.SQL_QA_TURNS, sql_batches("qa_turns", ["conv_id", "turn"])) + """
+@register("collate_lists", _with(FX.SQL_USER_TURNS, sql_batches("user_turns", ["conv_id", "turn"])) + """
 SELECT shard, batch_id, CAST(count(*) AS INTEGER) AS n,
        string_agg(CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR), ',' ORDER BY pos) AS keys
 FROM batched GROUP BY shard, batch_id""")
@@ -417,18 +442,18 @@ def q_collate_lists(spark, sf):
     return c.select("shard", "batch_id", "n", keys.alias("keys"))
 
 
-@register("first_batches", _with(FX.SQL_QA_TURNS, sql_batches("qa_turns", ["conv_id", "turn"])) +
+@register("first_batches", _with(FX.SQL_USER_TURNS, sql_batches("user_turns", ["conv_id", "turn"])) +
           f"SELECT conv_id, turn, shard, batch_id FROM batched WHERE batch_id * (SELECT n FROM bn) + shard < {N_FIRST_BATCHES}")
 def q_first_batches(spark, sf):
     b, n = _batched_turns(spark, sf)
     return B.first_batches(b, N_FIRST_BATCHES, n).select("conv_id", "turn", "shard", "batch_id")
 
 
-@register("length_draw", _with(FX.SQL_QA_TURNS) + f"""SELECT conv_id, turn,
+@register("length_draw", _with(FX.SQL_USER_TURNS) + f"""SELECT conv_id, turn,
   CAST({B.MIN_GEN_LENGTH} + {sql_hnum(sql_h(SEED, "'len'", 'conv_id', 'turn'))} % {B.MAX_GEN_LENGTH - B.MIN_GEN_LENGTH} AS INTEGER)
-  AS gen_len FROM qa_turns""")
+  AS gen_len FROM user_turns""")
 def q_length_draw(spark, sf):
-    return _turns(spark, sf).select("conv_id", "turn", B.length_draw(["conv_id", "turn"], SEED).alias("gen_len"))
+    return _questions(spark, sf).select("conv_id", "turn", B.length_draw(["conv_id", "turn"], SEED).alias("gen_len"))
 
 
 def sql_padded(toks: str, n: str, width: str) -> str:
@@ -448,13 +473,13 @@ def _pad_out(df, ids="toks"):
 
 
 SQL_TURN_TOKS = f"""tt AS (SELECT conv_id, turn, regexp_extract_all({SQL_Q} || question || {SQL_A}, '{TOKEN_PATTERN}') AS toks
-  FROM qa_turns)"""
+  FROM user_turns)"""
 
 
-@register("pad_max", _with(FX.SQL_QA_TURNS, SQL_TURN_TOKS) +
+@register("pad_max", _with(FX.SQL_USER_TURNS, SQL_TURN_TOKS) +
           f"SELECT conv_id, turn, {sql_padded('toks', 'len(toks)', str(PAD_TO))} FROM tt")
 def q_pad_max(spark, sf):
-    t = _turns(spark, sf).select("conv_id", "turn", tokens(PR.question_prompt("question")).alias("toks"))
+    t = _questions(spark, sf).select("conv_id", "turn", tokens(PR.question_prompt("question")).alias("toks"))
     t = t.withColumn("shard", F.lit(0)).withColumn("batch_id", F.lit(0))
     return _pad_out(B.pad_batch(t, "toks", PAD_TOKEN, max_length=PAD_TO))
 
@@ -466,7 +491,7 @@ def _batched_turn_toks(spark, sf):
 
 def sql_pad_batch(multiple: int | None) -> str:
     width = "mx" if not multiple else f"((mx + {multiple - 1}) // {multiple}) * {multiple}"
-    return _with(FX.SQL_QA_TURNS, sql_batches("qa_turns", ["conv_id", "turn"])) + f""",
+    return _with(FX.SQL_USER_TURNS, sql_batches("user_turns", ["conv_id", "turn"])) + f""",
 tt AS (SELECT conv_id, turn, shard, batch_id, regexp_extract_all({SQL_Q} || question || {SQL_A}, '{TOKEN_PATTERN}') AS toks
        FROM batched),
 tw AS (SELECT *, max(len(toks)) OVER (PARTITION BY shard, batch_id) AS mx FROM tt)
@@ -546,7 +571,7 @@ def q_reward_baseline(spark, sf):
 SELECT shard, batch_id, count(*) AS n, round(avg(reward), 6) AS mean, round(stddev_pop(reward), 6) AS std,
        round(min(reward), 6) AS min, round(max(reward), 6) AS max FROM rw GROUP BY shard, batch_id""")
 def q_reward_log(spark, sf):
-    b, _ = _batched_turns(spark, sf)
+    b, _ = _batched_turns(spark, sf, FX.qa_turns)
     s = M.scorer()(PR.query_response(PR.question_prompt("question"), "answer"))
     b = b.withColumn("reward", M.baseline_shift(s, REWARD_BASELINE))
     return M.reward_stats(b, "reward", ["shard", "batch_id"])
@@ -591,25 +616,35 @@ def q_markdown_native(spark, sf):
     return table(spark, sf, "pages").select("page_id", TX.markdown_native("html").alias("markdown"))
 
 
-@register("collapse_blank_lines",
-          f"SELECT doc_id, regexp_replace(text, {TX.sql_literal(TX.BLANK_LINES_PATTERN)}, chr(10) || chr(10), 'g') AS text "
-          "FROM documents")
+#: Text of a page with every tag replaced by a line break: full of blank lines, and with white space at both ends.
+SQL_PAGE_TEXT = "regexp_replace(html, '<[^>]*>', chr(10), 'g')"
+
+
+def _page_text(spark, sf):
+    return table(spark, sf, "pages").select("page_id", F.regexp_replace("html", "<[^>]*>", "\n").alias("text"))
+
+
+@register("collapse_blank_lines", f"""SELECT page_id,
+  regexp_replace({SQL_PAGE_TEXT}, {TX.sql_literal(TX.BLANK_LINES_PATTERN)}, chr(10) || chr(10), 'g') AS text FROM pages""")
 def q_collapse_blank_lines(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", TX.collapse_blank_lines("text").alias("text"))
+    return _page_text(spark, sf).select("page_id", TX.collapse_blank_lines("text").alias("text"))
 
 
 @register("strip_text",
-          f"SELECT conv_id, turn, regexp_replace(text, {TX.sql_literal(TX.STRIP_PATTERN)}, '', 'g') AS text FROM conversations")
+          f"SELECT page_id, regexp_replace({SQL_PAGE_TEXT}, {TX.sql_literal(TX.STRIP_PATTERN)}, '', 'g') AS text FROM pages")
 def q_strip_text(spark, sf):
-    return table(spark, sf, "conversations").select("conv_id", "turn", TX.strip_text("text").alias("text"))
+    return _page_text(spark, sf).select("page_id", TX.strip_text("text").alias("text"))
+
+
+#: A class attribute as code blocks carry it, from the language of the page.
+SQL_PAGE_CLASS = "concat('lang-', regexp_extract(html, '<html lang=\"([^\"]*)\"', 1), ' code-block')"
 
 
 @register("code_language", f"""SELECT page_id, CASE WHEN c = '' THEN NULL ELSE string_split(c, '-')[-1] END AS lang
-FROM (SELECT page_id, regexp_extract(regexp_extract(html, 'class="([^"]*)"', 1), '[^{TX.WHITESPACE_CLASS}]+', 0) AS c
-      FROM pages)""")
+FROM (SELECT page_id, regexp_extract({SQL_PAGE_CLASS}, '[^{TX.WHITESPACE_CLASS}]+', 0) AS c FROM pages)""")
 def q_code_language(spark, sf):
-    pages = table(spark, sf, "pages")
-    return pages.select("page_id", TX.code_language(F.regexp_extract("html", 'class="([^"]*)"', 1)).alias("lang"))
+    css = F.concat(F.lit("lang-"), F.regexp_extract("html", '<html lang="([^"]*)"', 1), F.lit(" code-block"))
+    return table(spark, sf, "pages").select("page_id", TX.code_language(css).alias("lang"))
 
 
 # ---------------------------------------------------------------- shards and sinks (K1-K5)
@@ -684,9 +719,9 @@ def q_stream_split(spark, sf):
 
 @register("stream_prompts", f"""SELECT conv_id, turn, query FROM (
   SELECT conv_id, turn, {SQL_Q} || text || {SQL_A} AS query FROM conversations WHERE role = 'user')
-WHERE {sql_ntok('query')} < 512""")
+WHERE {sql_ntok('query')} < {PROMPT_LIMIT}""")
 def q_stream_prompts(spark, sf):
-    s = ST.prompts(_stream(spark, sf, "conversations"))
+    s = ST.prompts(_stream(spark, sf, "conversations"), PROMPT_LIMIT)
     return ST.run_to_table(spark, s, "stream-prompts")
 
 
@@ -700,6 +735,29 @@ def q_stream_rewards(spark, sf):
     return ST.run_to_table(spark, s, "stream-rewards")
 
 
+# ---------------------------------------------------------------- topic and split scans
+
+from prefdata.sources import tables as TB  # noqa: E402
+
+
+@register("topic_scan", "SELECT doc_id, source AS topic, n_chars FROM documents WHERE source IN ('src0', 'src7')")
+def q_topic_scan(spark, sf):
+    """Documents written as one folder per topic; the scan reads the folders of the topics asked for."""
+    root = scratch_path(spark, "topics")
+    docs = table(spark, sf, "documents").select("doc_id", "n_chars", F.col("source").alias("topic"))
+    docs.write.partitionBy("topic").parquet(root)
+    return TB.read_topic_folders(spark, root, "src0", "src7").select("doc_id", "topic", "n_chars")
+
+
+@register("split_scan", f"""WITH o AS ({sql_positions('documents', 'doc_id')})
+SELECT doc_id, 'reward' AS split FROM o WHERE {SPLIT_CASE} = 'reward'""")
+def q_split_scan(spark, sf):
+    """Split folders written once; the filter prunes all but one."""
+    root = scratch_path(spark, "splits")
+    S.split_exact(table(spark, sf, "documents").select("doc_id"), "doc_id", SEED).write.partitionBy("split").parquet(root)
+    return TB.read_split(spark, root, "reward").select("doc_id", "split")
+
+
 # ---------------------------------------------------------------- flagship plan (O4 + J3 + P4 + G3)
 
 from prefdata.plans import prepare as PA  # noqa: E402

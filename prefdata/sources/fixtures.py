@@ -8,6 +8,7 @@ as a CTE by the oracles), so both engines start from identical rows.
   item ``doc_id % (number of items)``; the score is ``quality``.
 * ``qa_turns(conv_id, turn, question, answer)`` - a user turn and the assistant
   turn right after it (turns are consecutive per conversation).
+* ``user_turns(conv_id, turn, question)`` - every user turn, answered or not.
 * ``order_lines`` / ``supplier_lines`` - ``lineitem`` as answers grouped by order
   (many small questions) or by supplier (few large questions), score = quantity.
 * ``scores(pair_id, r_j, r_k)`` - deterministic reward pairs from ``documents``.
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from prefdata.functions.tokens import TOKEN_PATTERN, tokens
 from prefdata.sources.tables import table
 
+
 def qa_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("question"))
 
@@ -58,6 +60,14 @@ SQL_QA_TURNS = """qa_turns AS (
   WHERE u.role = 'user' AND a.role = 'assistant')"""
 
 
+def user_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "conversations")
+    return c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
+
+
+SQL_USER_TURNS = "user_turns AS (SELECT conv_id, turn, text AS question FROM conversations WHERE role = 'user')"
+
+
 def _lines(spark: SparkSession, sf_dir: str, group: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(

@@ -58,6 +58,11 @@ def read_topics(spark: SparkSession, root: str, *topics: str, site_suffix: str =
     return df.withColumn("topic", topic)
 
 
+def read_topic_folders(spark: SparkSession, root: str, *topics: str, column: str = "topic") -> DataFrame:
+    """S2 for folders ``topic=<name>``: one table; the filter prunes the folders of other topics."""
+    return spark.read.parquet(root).filter(F.col(column).isin(*topics))
+
+
 def read_split(spark: SparkSession, root: str, split: str) -> DataFrame:
     """S3: one split of a dataset written by :func:`prefdata.sources.sinks.write_sharded`.
 
