@@ -169,8 +169,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Additiv
     learn = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), 5, 0))
     learn = learn.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     picked = docs.select("doc_id", "text").join(F.broadcast(learn), "doc_id")  # two integers in at most `rows` rows
-    pdf = picked.select(F.xxhash64("doc_id").alias("h"), "doc_id", "quality", _vectors()("text").alias("x")).toPandas()
-    pdf = pdf.sort_values(["h", "doc_id"], kind="stable").head(rows)
+    vectors = picked.select(F.xxhash64("doc_id").alias("h"), "doc_id", "quality", F.xxhash64("text").alias("t"), _vectors()("text").alias("x"))
+    pdf = vectors.orderBy("h", "doc_id", "t").limit(rows).toPandas()  # however often an id is repeated
     x = np.array(pdf["x"].tolist(), float).reshape(-1, len(FEATURES))
     return fit(x, pdf["quality"].to_numpy(float))
 
