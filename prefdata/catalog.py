@@ -601,14 +601,14 @@ def q_eval_by_step(spark, sf):
 
 # ---------------------------------------------------------------- HTML and text cleanup
 
-from prefdata.functions import markdown as MD  # noqa: E402
+from prefdata.plans.prepare import html_clean  # noqa: E402
 
 
-@register("html_to_markdown")
+@register("html_to_markdown", f"SELECT page_id, {TX.sql_markdown_native('html')} AS markdown, strlen({TX.sql_markdown_native('html')}) AS n_bytes FROM pages")
 def q_html_to_markdown(spark, sf):
-    """T1 UDF form (rows only: the converter follows a library that has no SQL equivalent)."""
-    pages = table(spark, sf, "pages").select("page_id", "html")
-    return MD.markdown_once(pages, "html", "markdown").select("page_id", "markdown")
+    """The cleaner of plan A (T1 - T5) on whole pages; every page has a row."""
+    pages = table(spark, sf, "pages").select("page_id", html_clean("html").alias("markdown"))
+    return pages.select("page_id", "markdown", F.octet_length("markdown").cast("long").alias("n_bytes"))
 
 
 @register("markdown_native", f"SELECT page_id, {TX.sql_markdown_native('html')} AS markdown FROM pages")
@@ -691,7 +691,7 @@ def q_shard_write(spark, sf):
     """K3-K5: write the sharded splits under the shared checkpoint folder and read the row counts back."""
     docs = table(spark, sf, "documents")
     path = scratch_path(spark, "shards")
-    SK.write_sharded(SH.split_and_shard(docs, "doc_id", SEED, SHARD_BYTES_Q), path)
+    SK.write_sharded(SH.split_and_shard(docs, "doc_id", SEED, SHARD_BYTES_Q, keep_order=True), path, order_by=S.ORDER_COL)
     back = spark.read.parquet(path)
     return back.groupBy("split", "shard").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -772,6 +772,30 @@ def q_split_pairs(spark, sf):
     return PA.paired_split_counts(spark, sf, SEED)
 
 
+SHARD_BYTES_P = 64 << 10
+
+
+@register("prepared_threads", _with(FX.SQL_PAGE_THREADS, sql_sample_pairs("qa_src")) + f""",
+qs AS (SELECT qid, {SPLIT_CASE} AS split FROM ({sql_positions('page_questions', 'qid')})),
+pt AS (SELECT s.qid, s.pair_no, s.aid_j, s.aid_k, qs.split, s.qid || '-' || s.pair_no AS pair_key,
+       {TX.sql_markdown_native('q.question')} AS question, {TX.sql_markdown_native('j.text')} AS response_j,
+       {TX.sql_markdown_native('k.text')} AS response_k
+  FROM sampled s JOIN qs ON qs.qid = s.qid JOIN page_questions q ON q.qid = s.qid
+  JOIN page_answers j ON j.qid = s.qid AND j.aid = s.aid_j JOIN page_answers k ON k.qid = s.qid AND k.aid = s.aid_k),
+po AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY {sql_h(SEED, 'pair_key')}, pair_key) - 1 AS p,
+       count(*) OVER (PARTITION BY split) AS n,
+       CAST(sum(48 + strlen(pair_key) + strlen(question) + strlen(response_j) + strlen(response_k)) OVER (PARTITION BY split)
+            // {SHARD_BYTES_P} + 1 AS BIGINT) AS k FROM pt),
+ps AS (SELECT *, CAST(CASE WHEN p < (n % k) * (n // k + 1) THEN p // (n // k + 1)
+                      ELSE n % k + (p - (n % k) * (n // k + 1)) // (n // k) END AS INTEGER) AS shard FROM po)
+SELECT qid, pair_no, aid_j, aid_k, question, response_j, response_k, split, shard, p - min(p) OVER (PARTITION BY split, shard) AS place,
+       printf('train-%05d-of-%05d', shard, k) AS name FROM ps""")
+def q_prepared_threads(spark, sf):
+    """Plan A from nested HTML threads to ordered shard files; rows, places and shard names as read back from the files."""
+    out = PA.prepared_threads(spark, FX.page_threads(spark, sf), scratch_path(spark, "prepared-shards"), SEED, SHARD_BYTES_P)
+    return out.select("qid", "pair_no", "aid_j", "aid_k", "question", "response_j", "response_k", "split", "shard", "place", "name")
+
+
 STREAM_HOLDOUT = 0.005
 HOLDOUT_RESOLUTION = 1_000_000
 

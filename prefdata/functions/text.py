@@ -1,4 +1,4 @@
-"""Text cleanup in Spark expressions (T2-T5, and the native Markdown subset of T1).
+"""Text cleanup in Spark expressions (T1-T5; T1 by a list of rules).
 
 Python's ``re`` treats ``\\s`` as Unicode whitespace; Java's ``\\s`` is ASCII
 only and ``(?U)\\s`` misses U+001C..U+001F.  The explicit class from
@@ -58,6 +58,11 @@ MARKDOWN_RULES = [
     (r"(?s)<!--.*?-->", ""),
     (r"(?is)<script\b[^>]*>.*?</script>", ""),
     (r"(?is)<style\b[^>]*>.*?</style>", ""),
+    (r"(?i)<pre\b[^>]*?class=\"(?:[^\" ]*-)?([^\" -]*)[^\"]*\"[^>]*>[ \t\r\n]*(?:<code\b[^>]*>)?", "\n\n```{1}\n"),
+    (r"(?i)<pre\b[^>]*>[ \t\r\n]*(?:<code\b[^>]*>)?", "\n\n```\n"),
+    (r"(?i)(?:</code>[ \t\r\n]*)?</pre>", "\n```\n\n"),
+    (r"(?i)</?code\b[^>]*>", "`"),
+    (r"(?i)<hr\b[^>]*>", "\n\n---\n\n"),
     (r"(?i)<h1\b[^>]*>", "\n\n# "),
     (r"(?i)<h2\b[^>]*>", "\n\n## "),
     (r"(?i)<h3\b[^>]*>", "\n\n### "),
@@ -91,10 +96,10 @@ def _java_replacement(rep: str) -> str:
 
 
 def markdown_native(html) -> Column:
-    """T1, native subset: tags and entities the rule list covers, then T3 and T4.
+    """Tags and entities the rule list covers, then T3 and T4.
 
-    Nested lists, ``pre``/``code``, tables and Markdown escaping need
-    :func:`prefdata.functions.markdown.html_to_markdown`.
+    A ``pre`` block is fenced with the language of its class (T2).  Tables and
+    the levels of nested lists are not rendered; their text stays.
     """
     c = _col(html)
     for pat, rep in MARKDOWN_RULES:

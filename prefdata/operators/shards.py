@@ -57,10 +57,37 @@ def contiguous_bounds(n_rows: int, n_shards: int) -> list[int]:
     return [i * div + min(i, mod) for i in range(1, n_shards)]
 
 
+def shard_splits(df: DataFrame, key: str, split: str = "split", seed=42, shard_bytes: int = SHARD_BYTES,
+                 names=SPLIT_NAMES) -> DataFrame:
+    """K1 + K2 for rows that have their split: add ``shard`` and the order column, in which every shard is contiguous.
+
+    The order is the split's number (one digit) and then the seeded hash, so one
+    histogram and one read of cut rows serve all splits.  ``key`` is unique and
+    every row's split is one of ``names``.
+    """
+    number = F.array_position(F.array(*[F.lit(x) for x in names]), F.col(split)) - 1
+    ordered = with_order(df, key, seed).withColumn(ORDER_COL, F.concat(F.hex(number), F.col(ORDER_COL)))
+    sizes = {r[split]: r for r in df.withColumn("_rb", row_bytes(df, exclude=(split,))).groupBy(split).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_rb").alias("nbytes")).collect()}  # one row per split
+    cuts, earlier, start = [], [], 0
+    for name in names:
+        earlier.append(len(cuts))
+        if name in sizes:
+            n = sizes[name]["n"]
+            cuts.extend(start + b for b in contiguous_bounds(n, shard_count(sizes[name]["nbytes"], shard_bytes)))
+            start += n
+    _, thresholds, hist = cut_thresholds(ordered.select(ORDER_COL, key), ORDER_COL, key, cuts)
+    out = apply_thresholds(ordered, ORDER_COL, key, thresholds, hist, "_within")
+    first = F.element_at(F.array(*[F.lit(v) for v in earlier]), (number + 1).cast("int"))
+    return out.withColumn("shard", (F.col("_within") - first).cast("int")).drop("_within")
+
+
 def split_and_shard(df: DataFrame, key: str, seed=42, shard_bytes: int = SHARD_BYTES, names=SPLIT_NAMES,
-                    tenths=SPLIT_TENTHS) -> DataFrame:
+                    tenths=SPLIT_TENTHS, keep_order: bool = False) -> DataFrame:
     """O4 + K1 + K2: add ``split`` and ``shard`` (contiguous shards inside each split).
 
+    ``keep_order`` leaves the order column for a sink that sorts inside shards.
+
     Jobs: one histogram of the order hash, one read of the split cut rows, one
     per-split byte sum, one read of the shard cut rows; the labelling itself
     is map-only (or a join with a table bounded by the histogram).
@@ -87,4 +114,4 @@ def split_and_shard(df: DataFrame, key: str, seed=42, shard_bytes: int = SHARD_B
     base = F.element_at(F.array(*[F.lit(v) for v in first_interval]), F.col("_split") + 1)
     out = out.withColumn("shard", (interval - base).cast("int"))
     out = out.withColumn("split", F.element_at(F.array(*[F.lit(x) for x in names]), F.col("_split") + 1))
-    return out.drop("_split", "_within", ORDER_COL)
+    return out.drop("_split", "_within") if keep_order else out.drop("_split", "_within", ORDER_COL)

@@ -9,20 +9,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefdata.functions.markdown import html_to_markdown
-from prefdata.functions.text import collapse_blank_lines, strip_text
+from prefdata.functions.text import clean_markdown, markdown_native, repair_utf8
 from prefdata.operators import pairs as P
 from prefdata.operators import split as S
 from prefdata.operators.prompts import qa_text
-from prefdata.operators.shards import SHARD_BYTES, split_and_shard
+from prefdata.operators.shards import SHARD_BYTES, shard_splits
 from prefdata.session import materialize
 from prefdata.sources import fixtures as FX
 from prefdata.sources.sinks import write_sharded
 
 
 def plain_clean(c):
-    """T3 + T4 for text that is not HTML."""
-    return strip_text(collapse_blank_lines(c))
+    """T3 + T4 + T5 for text that is not HTML."""
+    return clean_markdown(c)
+
+
+def html_clean(c):
+    """HTML to Markdown, then repaired UTF-8; null stays null."""
+    return repair_utf8(markdown_native(c))
 
 
 def paired_splits(answers: DataFrame, questions: DataFrame, seed=42, k: int = P.MAX_PAIRS, clean=plain_clean,
@@ -38,29 +42,28 @@ def paired_splits(answers: DataFrame, questions: DataFrame, seed=42, k: int = P.
     return P.attach_texts(ids, answers, qs, qid, aid, text, clean)
 
 
-def prepare_threads(threads: DataFrame, seed=42, k: int = P.MAX_PAIRS) -> DataFrame:
+def prepare_threads(threads: DataFrame, seed=42, k: int = P.MAX_PAIRS, clean=html_clean) -> DataFrame:
     """The reference's nested input (``answers: array<struct<pm_score, text>>``) through plan A with HTML cleaning."""
     flat = P.explode_threads(threads).withColumnRenamed("pm_score", "score")
     questions = threads.drop("answers")
-    return paired_splits(flat, questions, seed, k, clean=html_to_markdown())
+    return paired_splits(flat, questions, seed, k, clean=clean)
 
 
 def write_prepared(pairs: DataFrame, path: str, key: str = "pair_key", seed=42, shard_bytes: int = SHARD_BYTES):
     """K1-K5: contiguous size-based shards per split, written as ``split=/shard=`` folders plus a manifest.
 
-    Pairs keep the split of their question; shards are contiguous in the seeded
-    order of ``key`` inside each split.
+    Pairs keep the split of their question; shards are contiguous and sorted in
+    the seeded order of ``key`` inside each split.  The pairs are computed once.
     """
     keyed = materialize(pairs.withColumn(key, F.concat_ws("-", "qid", "pair_no")), "prepared")
-    parts = []
-    for name in S.SPLIT_NAMES:
-        one = keyed.filter(F.col("split") == name).drop("split")
-        sharded = split_and_shard(one, key, seed, shard_bytes, names=(name,), tenths=())
-        parts.append(sharded)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return write_sharded(out, path)
+    return write_sharded(shard_splits(keyed, key, seed=seed, shard_bytes=shard_bytes), path, order_by=S.ORDER_COL)
+
+
+def prepared_threads(spark: SparkSession, threads: DataFrame, path: str, seed=42, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Plan A from nested threads to files and back: every pair with its split, shard, shard name and place in the shard's file."""
+    manifest = write_prepared(prepare_threads(threads, seed), path, seed=seed, shard_bytes=shard_bytes)
+    back = spark.read.parquet(path).withColumn("place", F.col("_metadata.row_index"))
+    return back.join(manifest.select("split", "shard", "name"), ["split", "shard"])
 
 
 def paired_split_counts(spark: SparkSession, sf_dir: str, seed=42) -> DataFrame:

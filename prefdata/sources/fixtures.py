@@ -45,6 +45,19 @@ SQL_QA_ANSWERS = """qa_answers AS (
   FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"""
 
 
+def page_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested threads: a page's title is the question, the pieces between paragraph ends are its answers (in HTML)."""
+    answers = F.transform(F.split("html", "</p>", -1), lambda x: F.struct((F.length(x) % 7).alias("pm_score"), x.alias("text")))
+    return table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("qid"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("question"), answers.alias("answers"))
+
+
+SQL_PAGE_THREADS = """page_questions AS (SELECT page_id AS qid, regexp_extract(html, '<title>([^<]*)</title>', 1) AS question FROM pages),
+page_answers AS (SELECT qid, CAST(unnest(range(len(a))) AS INTEGER) AS aid, unnest(a) AS text
+  FROM (SELECT page_id AS qid, string_split(html, '</p>') AS a FROM pages)),
+qa_src AS (SELECT qid, aid, length(text) % 7 AS score FROM page_answers)"""
+
+
 def qa_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))

@@ -7,7 +7,8 @@ tasks are the pool: rows are repartitioned by (split, shard) and written with
 writes it; ``errorifexists`` refuses an existing target.  Spark names the part
 files itself, so a manifest (split, shard, name, rows, bytes) is written next
 to the data under ``_manifest`` (folders starting with ``_`` are ignored when
-the dataset is read back).
+the dataset is read back).  Its statistics are read from the written files, so
+what comes before the sink is computed once.
 """
 
 from __future__ import annotations
@@ -25,19 +26,27 @@ def shard_name(shard, n_shards) -> F.Column:
     return F.format_string("train-%05d-of-%05d", shard, n_shards)
 
 
-def write_sharded(df: DataFrame, path: str, split: str = "split", shard: str = "shard",
-                  mode: str = "errorifexists", max_records_per_file: int | None = None) -> DataFrame:
-    """K4/K5: write every (split, shard) to its own folder; return the manifest DataFrame."""
-    w = df.repartition(split, shard).write.mode(mode).partitionBy(split, shard)
+def write_sharded(df: DataFrame, path: str, split: str = "split", shard: str = "shard", mode: str = "errorifexists",
+                  max_records_per_file: int | None = None, order_by: str | None = None) -> DataFrame:
+    """K4/K5: write every (split, shard) to its own folder; return the manifest DataFrame.
+
+    ``order_by`` sorts the rows inside each shard (K2) and is not written itself.
+    """
+    rows = df.repartition(split, shard)
+    if order_by:
+        rows, df = rows.sortWithinPartitions(split, shard, order_by).drop(order_by), df.drop(order_by)
+    w = rows.write.mode(mode).partitionBy(split, shard)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(path)
-    stats = df.groupBy(split, shard).agg(F.count(F.lit(1)).alias("rows"),
-                                         F.sum(row_bytes(df, exclude=(split, shard))).alias("bytes"))
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    stats = back.groupBy(split, shard).agg(F.count(F.lit(1)).alias("rows"),
+                                           F.sum(row_bytes(back, exclude=(split, shard))).alias("bytes"))
     n = stats.groupBy(split).agg(F.max(shard).alias("_max"))
     manifest = stats.join(n, split).withColumn("name", shard_name(F.col(shard), F.col("_max") + 1)).drop("_max")
-    manifest.write.mode(mode).parquet(f"{path.rstrip('/')}/{MANIFEST}")
-    return manifest
+    target = f"{path.rstrip('/')}/{MANIFEST}"
+    manifest.write.mode(mode).parquet(target)
+    return read_manifest(df.sparkSession, path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

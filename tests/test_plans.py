@@ -10,6 +10,7 @@ from prefdata.operators import vocab as V
 from prefdata.session import scratch_path
 from prefdata.sources import fixtures as FX
 from prefdata.sources.sinks import read_manifest
+from tests import reference_rules as R
 from tests.conftest import SF001, SF01
 
 
@@ -44,15 +45,30 @@ def test_write_prepared_manifest(spark):
     total = _pairs(spark).count()
     assert sum(m["rows"] for m in manifest) == total
     assert read_manifest(spark, path).count() == len(manifest)
+    rows = spark.read.parquet(path).withColumn("place", F.col("_metadata.row_index")).collect()
+    assert "_order" not in spark.read.parquet(path).columns
+    for name in {m["split"] for m in manifest}:
+        sizes = [m["rows"] for m in sorted(manifest, key=lambda m: m["shard"]) if m["split"] == name]
+        assert max(sizes) - min(sizes) <= 1 and sizes == sorted(sizes, reverse=True)
+        stored = sorted((r["shard"], r["place"], r["pair_key"]) for r in rows if r["split"] == name)
+        keys = [k for _, _, k in stored]
+        assert keys == sorted(keys, key=lambda k: (R.h(42, k), k))  # contiguous shards, sorted inside
+
+
+def test_shards_of_an_empty_table(spark):
+    path = scratch_path(spark, "t-empty")
+    empty = spark.createDataFrame([], "qid long, pair_no long, question string, split string")
+    assert PA.write_prepared(empty, path).count() == 0
 
 
 def test_supervised_blocks(spark):
     pairs = _pairs(spark).withColumn("pair_key", F.concat_ws("-", "qid", "pair_no"))
-    train, valid, cpt = SU.supervised_blocks(pairs, "pair_key", seq_length=64, num_of_sequences=8, n_epochs=2)
+    train, valid, cpt = SU.supervised_blocks(pairs, "pair_key", seq_length=64, num_of_sequences=8, n_epochs=2, test_size=0.2)
     assert cpt > 0
-    rows = train.collect()
-    assert rows and all(len(r["input_ids"]) == 64 and r["labels"] == r["input_ids"] for r in rows)
-    assert valid.count() >= 0
+    rows, held = train.collect(), valid.collect()
+    for part in (rows, held):
+        assert part and all(len(r["input_ids"]) == 64 and r["labels"] == r["input_ids"] for r in part)
+    assert len(rows) > len(held)
 
 
 def test_reward_dataset_and_metrics(spark):

@@ -84,7 +84,7 @@ def test_entry_and_registry(spark):
     assert df.count() >= 1
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs) and set(catalog.QUERIES) <= set(qs)
-    assert set(catalog.QUERIES) - set(catalog.SQL) == {"html_to_markdown"}
+    assert set(catalog.QUERIES) == set(catalog.SQL)
 
 
 def test_checkpoint_dir_is_read_from_session(spark):

@@ -3,7 +3,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from prefdata.functions import text as TX
-from prefdata.functions.markdown import convert
 from prefdata.functions.tokens import PAD_ID, pad, padded_mask, round_up, token_count, tokens
 from prefdata.operators import prompts as PR
 from prefdata.operators import vocab as V
@@ -110,16 +109,19 @@ def test_eos_and_ratio(spark):
     assert empty["ratio"] is None
 
 
-def test_markdown_converter():
-    html = ('<h1>T</h1><p>a <b>b</b><br>c</p><ul><li>x<ul><li>y</li></ul></li></ul>'
-            '<pre><code class="lang-py">x = 1</code></pre><a href="u">l</a> 2*3_4 &amp; &copy;<script>s()</script>')
-    md = convert(html)
-    assert md.startswith("# T\n\na **b**  \nc")
-    assert "* x\n  + y" in md
-    assert "```py\nx = 1\n```" in md
-    assert "[l](u) 2\\*3\\_4 & ©" in md
-    assert "s()" not in md
-    assert "\n\n\n" not in md
+def test_markdown_code_blocks(spark):
+    cases = {
+        '<pre class="lang-py s-code"><code>x = 1</code></pre>': "```py\nx = 1\n```",
+        "<p>use</p><pre><code>y</code>\n</pre>": "use\n\n```\ny\n```",
+        "call <code>f()</code><hr>end": "call `f()`\n\n---\n\nend",
+        "<pre>plain</pre>": "```\nplain\n```",
+        "<div>" * 600 + "deep" + "</div>" * 600: "deep",
+        "": "",
+        None: None,
+    }
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(cases)], "i int, h string")
+    got = [r["m"] for r in df.select("i", TX.repair_utf8(TX.markdown_native("h")).alias("m")).orderBy("i").collect()]
+    assert got == list(cases.values())
 
 
 def test_markdown_native_subset(spark):
@@ -131,7 +133,3 @@ def test_markdown_native_subset(spark):
 def test_utf8_repair_inserts_replacement_char(spark):
     r = spark.range(1).select(TX.repair_utf8(F.unhex(F.lit("61FF62")).cast("string")).alias("s")).first()
     assert r["s"] == "a\ufffdb"
-
-
-def test_markdown_lone_surrogate_is_replaced():
-    assert convert("<p>a\ud800b</p>") == "a?b"
