@@ -124,6 +124,24 @@ def test_line_dedup_matches_brute_force(spark, monkeypatch):
     assert dict(expected)[185] == "One line\nother" and dict(expected)[180] is None
 
 
+def test_fuzzy_lines_are_found_without_regard_to_the_fingerprint(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 8)))
+    rows, pairs = [], []
+    for n in (2, 6, 12, 20, 30, 50):
+        for _ in range(50):
+            w = [word() for _ in range(n)]
+            v = list(w)
+            for at in rng.sample(range(n), max(1, n // 8)):
+                v[at] = word() if n > 5 else v[at][:-1] + "z"
+            if lines.similar(" ".join(w), " ".join(v)):
+                pairs.append((2 * len(pairs) + 1, len(rows)))
+                rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(v))]
+    kept = {r["doc_id"]: r["text"] for r in lines.dedup_lines(frame(spark, rows)).collect()}
+    lost = [i for i, _ in pairs if kept[i] != ""]
+    assert len(pairs) > 250 and len(lost) <= 0.03 * len(pairs) and all(kept[i] for _, i in pairs)
+
+
 def test_similar_lines():
     assert lines.edit_distance("kitten", "sitting", 9) == 3 and lines.edit_distance("kitten", "sitting", 2) == 3
     assert lines.edit_distance("", "abc", 9) == 3 and lines.edit_distance("abc", "abc", 0) == 0
