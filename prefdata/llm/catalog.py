@@ -106,3 +106,36 @@ def op4(spark, sf):
     from prefdata.llm.secret_scan import secrets
 
     return secrets(table(spark, sf, "documents"))
+
+
+def _op13_sql():
+    from prefdata.llm.trie import prefix_trie_sql
+
+    return prefix_trie_sql()
+
+
+@register("op13_prefix_trie", _op13_sql())
+def op13(spark, sf):
+    from prefdata.llm.trie import prefix_trie
+
+    return prefix_trie(table(spark, sf, "conversations"))
+
+
+def _op12_sql():
+    from prefdata.llm.search import ranked_sql
+
+    return ranked_sql()
+
+
+@register("op12_ranked_search", _op12_sql())
+def op12(spark, sf):
+    from prefdata.llm.search import ranked
+
+    return ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@register("op11_toxicity")
+def op11(spark, sf):
+    from prefdata.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
