@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections import Counter
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,11 @@ TOP = 50
 #: Occurrences that have a bit of their own: an occurrence count is known up to the next level.
 LEVELS = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 256, 512, 1024, 4096, 16384, 65536, 1 << 20], np.int64)
 #: Bits set for a (term, level), bits of a signature for each of them, rows of a block and bytes of a block (about).
-HASHES, BITS_PER_KEY, ROWS, BLOCK_BYTES = 4, 8, 2048, 1 << 21
+HASHES, BITS_PER_KEY, ROWS, BLOCK_BYTES = 10, 16, 2048, 1 << 21
 #: Terms of the items that are asked in one pass (their strings and weights travel with the tasks: some MB).
 ITEM_TERMS = 20_000
+#: Terms whose slices are combined at once; rows of the highest bounds that set an item's threshold, in times of ``top``.
+CHUNK, FIRST = 256, 4
 #: Texts fetched again by a broadcast of their keys (about 60 bytes each); more are joined by a shuffle.
 BROADCAST_KEYS = 200_000
 
@@ -152,29 +155,41 @@ class Queries:
         # What an occurrence count below the next level can give at most, and what a level adds to that.
         most = np.stack([(1000000000 * tf) // (1000 * tf + 20 * m) for tf in (np.minimum(np.append(LEVELS[1:] - 1, 1 << 40), 1 << 33)).tolist()])
         adds = np.diff(most, axis=0, prepend=0)
-        names = list(self.weight)
-        total = np.zeros((len(self.items), n), np.int64)
-        users: dict[bytes, list[int]] = {}
-        for i, x in enumerate(self.items):
-            for t in x:
-                users.setdefault(t, []).append(i)
-        hashes = np.array([xxhash.xxh3_64_intdigest(t) for t in names], np.uint64)
-        first = positions(hashes, np.zeros(len(names), np.int64), width)
-        present = np.bitwise_and.reduce(bits[first], axis=0)
-        for k in np.flatnonzero(present.any(axis=1)):
-            t, slices, value, level = names[k], present[k], None, 0
-            while True:
-                on = np.unpackbits(slices, count=n).astype(bool)
-                add = np.where(on, adds[level], 0)
-                value = add if value is None else value + add
-                level += 1
-                if level == len(LEVELS):
+        adds = adds.astype(np.float64)  # whole numbers below 2**53, as are their weighted sums
+        total = np.zeros((len(self.items), n))
+
+        def slices_of(hashes, level):
+            return np.bitwise_and.reduce(bits[positions(hashes, np.full(len(hashes), level), width)], axis=0)
+        for hashes, weights in self._chunks:
+            slices = slices_of(hashes, 0)
+            some = np.flatnonzero(slices.any(axis=1))
+            if not len(some):
+                continue
+            slices, hashes, at = slices[some], hashes[some], np.arange(len(some))
+            value = np.unpackbits(slices, axis=1, count=n) * adds[0]
+            for level in range(1, len(LEVELS)):
+                slices = slices & slices_of(hashes, level)
+                left = slices.any(axis=1)
+                if not left.any():
                     break
-                slices = slices & np.bitwise_and.reduce(bits[positions(hashes[k: k + 1], np.array([level]), width)[:, 0]], axis=0)
-                if not slices.any():
-                    break
-            total[users[t]] += self.weight[t] * value
-        return total
+                slices, hashes, at = slices[left], hashes[left], at[left]
+                value[at] += np.unpackbits(slices, axis=1, count=n) * adds[level]
+            total += weights[:, some] @ value
+        return total.astype(np.int64)
+
+    @cached_property
+    def _chunks(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Hashes of ``CHUNK`` terms at a time and their (items, terms) weights."""
+        names, out = list(self.weight), []
+        for i in range(0, len(names), CHUNK):
+            own = {t: k for k, t in enumerate(names[i: i + CHUNK])}
+            weights = np.zeros((len(self.items), len(own)))
+            for j, x in enumerate(self.items):
+                for t in x:
+                    if t in own:
+                        weights[j, own[t]] = self.weight[t]
+            out.append((np.array([xxhash.xxh3_64_intdigest(t) for t in own], np.uint64), weights))
+        return out
 
 
 def _blocks(batches):
@@ -272,9 +287,9 @@ def ranked(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
         df = {r["term"].encode("utf-8", "surrogatepass"): r["n"] for r in index.filter("kind = 'df'").groupBy("term").agg(F.sum("a").alias("n")).toLocalIterator()}
         q = Queries([x for _, x in block], df, total[0] or 0, total[1] or 0)
         blocks = index.filter("kind = 'block'").select(F.col("a").cast("int"), "docs", "lengths", "bits", "width")
-        first = blocks.mapInArrow(_best(q, top), "item long, text_key string, bound long").distinct()
+        first = blocks.mapInArrow(_best(q, FIRST * top), "item long, text_key string, bound long").distinct()
         order = Window.partitionBy("item").orderBy(F.desc("bound"), "text_key")
-        first = first.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= top).select("item", "text_key")
+        first = first.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= FIRST * top).select("item", "text_key")
         known = _scores(texts, first, q)
         # Texts that are copies of each other are documents each; counting each text once keeps the threshold low enough.
         least = known.withColumn("n", F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score")))).filter(F.col("n") == top)
