@@ -346,6 +346,7 @@ def q_append_eos(spark, sf):
 
 from prefdata.functions.tokens import EOS_TOKEN, PAD_TOKEN  # noqa: E402
 from prefdata.operators import batches as B  # noqa: E402
+from prefdata.operators import buffers as BF  # noqa: E402
 from prefdata.operators import metrics as M  # noqa: E402
 from prefdata.operators import packing as PK  # noqa: E402
 
@@ -390,6 +391,35 @@ def q_pack_blocks(spark, sf):
     return _blocks(spark, sf).select("shard", "chunk", F.array_join("input_ids", " ").alias("block"))
 
 
+BUFFER_L, BUFFER_CHARS = 128, 128 * 4 * 64  # blocks of 128 tokens, 4 characters a token, 64 blocks a buffer
+
+
+def sql_sequential() -> str:
+    return "WITH RECURSIVE " + BF.buffers_sql("documents", "doc_id", "text", BUFFER_CHARS, sql_h(SEED, "doc_id"))
+
+
+@register("sequential_buffers", sql_sequential() + " SELECT doc_id, buffer FROM buffered")
+def q_sequential_buffers(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return BF.sequential_buffers(d, ["doc_id"], "text", BUFFER_CHARS, SEED).select("doc_id", "buffer")
+
+
+@register("supervised_blocks", sql_sequential() + f""",
+dt AS (SELECT doc_id, buffer AS shard, list_append(regexp_extract_all(text, '{TOKEN_PATTERN}'), '{EOS_TOKEN}') AS toks, {sql_h(SEED, 'doc_id')} AS o
+       FROM documents JOIN buffered USING (doc_id)),
+w AS (SELECT *, len(toks) AS sz, CAST(coalesce(sum(len(toks)) OVER (PARTITION BY shard ORDER BY o, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS off FROM dt),
+c AS (SELECT shard, off, sz, toks, unnest(range(off // {BUFFER_L}, (off + sz - 1) // {BUFFER_L} + 1)) AS chunk FROM w),
+p AS (SELECT shard, chunk, greatest(chunk * {BUFFER_L}, off) AS lo,
+             list_slice(toks, greatest(chunk * {BUFFER_L}, off) - off + 1, least((chunk + 1) * {BUFFER_L}, off + sz) - off) AS piece FROM c),
+b AS (SELECT shard AS buffer, CAST(chunk AS BIGINT) AS chunk, flatten(list(piece ORDER BY lo)) AS ids FROM p GROUP BY shard, chunk)
+SELECT buffer, chunk, array_to_string(ids, ' ') AS input_ids, array_to_string(ids, ' ') AS labels FROM b WHERE len(ids) = {BUFFER_L}""")
+def q_supervised_blocks(spark, sf):
+    d = BF.sequential_buffers(table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"], "text", BUFFER_CHARS, SEED)
+    d = d.withColumn("toks", F.concat(tokens("text"), F.array(F.lit(EOS_TOKEN))))
+    blocks = PK.with_labels(PK.pack_buffers(d, ["doc_id"], "toks", "buffer", BUFFER_L, SEED))
+    return blocks.select(F.col("shard").alias("buffer"), "chunk", F.array_join("input_ids", " ").alias("input_ids"), F.array_join("labels", " ").alias("labels"))
+
+
 @register("pack_shuffled", sql_pack() + f"""SELECT shard, chunk,
   CAST(row_number() OVER (PARTITION BY shard ORDER BY {sql_h(SEED, 'shard', 'chunk')}, chunk) - 1 AS INTEGER) AS pos
 FROM blocks""")

@@ -6,7 +6,8 @@ document may overshoot), tokenize, append ``eos`` to each document, concatenate,
 cut every ``seq_length`` tokens and drop the short tail of the buffer; shuffle
 the blocks of the buffer.
 
-Spark form: a buffer is a **shard**, ``pmod(h(seed, key), n)`` with ``n`` from
+Exact buffers come from :mod:`prefdata.operators.buffers`; they need an order
+of all documents.  The cheaper form: a buffer is a **shard**, ``pmod(h(seed, key), n)`` with ``n`` from
 the same character budget (:func:`buffer_count`), so each shard holds about one
 buffer's worth of text; the boundary differs from the sequential one, the rules
 inside a buffer are the same.  Tokens are never exploded: a running sum of
@@ -44,9 +45,18 @@ def pack(docs: DataFrame, keys: list[str], toks: str, seq_length: int, n_shards:
     ``toks`` already ends with the separator (T11).  Documents are ordered by
     ``(h(seed, *keys), *keys)`` inside their shard.
     """
-    L = seq_length
     d = docs.select(*keys, toks).withColumn("_o", h(seed, *keys))
-    d = d.withColumn("shard", F.pmod(hnum("_o"), F.lit(n_shards)).cast("int")).withColumn("_n", F.size(toks))
+    return _pack(d.withColumn("shard", F.pmod(hnum("_o"), F.lit(n_shards)).cast("int")), keys, toks, seq_length)
+
+
+def pack_buffers(docs: DataFrame, keys: list[str], toks: str, buffer: str, seq_length: int, seed=42) -> DataFrame:
+    """T12 over buffers made beforehand (T13, :func:`prefdata.operators.buffers.sequential_buffers`): ``shard`` is the buffer."""
+    d = docs.select(*keys, toks, F.col(buffer).alias("shard")).withColumn("_o", h(seed, *keys))
+    return _pack(d, keys, toks, seq_length)
+
+
+def _pack(d: DataFrame, keys: list[str], toks: str, L: int) -> DataFrame:
+    d = d.withColumn("_n", F.size(toks))
     w = Window.partitionBy("shard").orderBy("_o", *keys).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)).cast("long"))
     # An empty document touches no block.  (No filter on the size: Catalyst would push it below a
