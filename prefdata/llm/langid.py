@@ -29,7 +29,12 @@ WORD = re.compile(r"[^\W\d_]+")
 
 
 def tokens(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """Runs of letters; other numerals that the pattern lets through (½, ², ①) part them."""
+    found = WORD.findall((text or "").lower())
+    odd = [t for t in found if not t.isalpha()]
+    if odd:
+        found = [t for t in found if t.isalpha()] + [w for t in odd for w in "".join(c if c.isalpha() else " " for c in t).split()]
+    return found
 
 
 def grams(word: str, n: int) -> list[str]:

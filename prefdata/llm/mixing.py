@@ -60,9 +60,14 @@ def calibrated(docs: DataFrame, targets: dict[str, dict] | None = None, topic: C
     tokens weigh nothing and have probability 0.  Repeated rows are drawn
     together (the draw is a hash of the id).  Extra columns are not looked at.
     """
+    return _calibrated(docs, targets, topic, rounds, seed).drop("key")
+
+
+def _calibrated(docs: DataFrame, targets, topic, rounds, seed) -> DataFrame:
+    """:func:`calibrated` with the ``key`` of the row's id, text, source and language."""
     spark = docs.sparkSession
     topic = topic_of(F.col("text")) if topic is None else topic
-    rows = docs.select("doc_id", "source", "lang", topic.alias("topic"), F.size(text_words(F.col("text"))).cast("long").alias("n_tokens"))
+    rows = docs.select("doc_id", _key().alias("key"), "source", "lang", topic.alias("topic"), F.size(text_words(F.col("text"))).cast("long").alias("n_tokens"))
     rows = rows.withColumns({d: _named(d) for d in DIMS})
     rows = materialize(rows.withColumn("cell", F.concat_ws("\x1f", *DIMS)), "mix-rows")
     cells = rows.filter("n_tokens > 0").groupBy("cell", *DIMS).agg(F.sum("n_tokens").alias("tokens"))
@@ -80,14 +85,19 @@ def calibrated(docs: DataFrame, targets: dict[str, dict] | None = None, topic: C
     drawn = params_by_key(rows, materialize(chance, "mix-chance"), "cell", F.col("doc_id"))
     u = hnum(h(seed, F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))).cast("double") / float(1 << 60)
     probability = F.when(F.col("n_tokens") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(0.0)
-    return drawn.select("doc_id", F.substring("topic", 2, 1 << 20).alias("topic"), "n_tokens", probability.alias("probability"),
+    return drawn.select("key", "doc_id", F.substring("topic", 2, 1 << 20).alias("topic"), "n_tokens", probability.alias("probability"),
                         (u < probability).alias("sampled"))
 
 
-def mix(docs: DataFrame, targets: dict[str, dict] | None = None, **options) -> DataFrame:
-    """The sampled rows of ``docs``, all columns."""
-    ids = calibrated(docs, targets, **options).filter("sampled").select(F.col("doc_id").alias("__llm_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__llm_id"]), "left_semi")
+def _key():
+    return F.xxhash64("doc_id", F.xxhash64("text"), "source", "lang")
+
+
+def mix(docs: DataFrame, targets: dict[str, dict] | None = None, topic: Column | None = None, rounds: int = ROUNDS, seed=SEED) -> DataFrame:
+    """The sampled rows of ``docs``, all columns; rows that share an id only are drawn by their own cell's probability."""
+    ids = _calibrated(docs, targets, topic, rounds, seed).filter("sampled").select(F.col("key").alias("__llm_key"), F.col("doc_id").alias("__llm_id")).distinct()
+    keyed = docs.withColumn("__llm_row", _key())
+    return keyed.join(ids, (keyed["__llm_row"] == ids["__llm_key"]) & keyed["doc_id"].eqNullSafe(ids["__llm_id"]), "left_semi").drop("__llm_row")
 
 
 def calibrated_sql(source: str = "documents", rounds: int = ROUNDS, temper: float = TEMPER, seed=SEED) -> str:

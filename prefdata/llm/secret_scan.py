@@ -163,9 +163,15 @@ def secrets(docs: DataFrame, labels: DataFrame | None = None, rows: int = TRAIN_
 
 
 def redact(docs: DataFrame, labels: DataFrame | None = None, mask: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every secret replaced by ``mask``; all rows and columns stay."""
-    bad = secrets(docs, labels).filter("is_secret").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("__llm_spans"))
-    joined = docs.withColumn("__llm_id", F.col("doc_id").cast("long")).join(bad.withColumnRenamed("doc_id", "__llm_id"), "__llm_id", "left")
+    """``docs`` with every secret replaced by ``mask``; all rows and columns stay.
+
+    Rows may share an id, or have none: a span is masked where the text there is
+    the secret itself (by its hash), so another text of the same id is left alone.
+    """
+    bad = secrets(docs, labels).filter("is_secret").groupBy(F.col("doc_id").alias("__llm_id")).agg(F.collect_set(F.struct("start", "stop", "token_sha256")).alias("__llm_all"))
+    joined = docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["__llm_id"]), "left")
+    own = F.filter("__llm_all", lambda s: F.sha2(F.substring(F.col("text"), s["start"] + 1, s["stop"] - s["start"]), 256) == s["token_sha256"])
+    joined = joined.withColumn("__llm_spans", F.sort_array(own))
     init = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     step = lambda acc, s: F.struct(F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask)).alias("out"), s["stop"].alias("at"))
     done = F.aggregate("__llm_spans", init, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))

@@ -120,7 +120,8 @@ def test_language_on_held_out_documents(spark):
     assert (got["lang_pred"] == got["lang"]).mean() > 0.98
     model = langid.BackoffModel([("de", "und", 5), ("de", "nicht", 3), ("en", "the", 6), ("en", "thing", 2)])
     assert model.classify("the thing")[0] == "en" and model.classify("nichts")[0] == "de"
-    assert model.classify(None) == model.classify("12 !?") == ("und", 0.0)
+    assert model.classify(None) == model.classify("12 !?") == model.classify("½ ² ① ٣") == ("und", 0.0)
+    assert langid.tokens("x²Ähre ½ ①b") == ["x", "ähre", "b"]
     edges = {r["doc_id"]: r for r in langid.languages(docs(spark, EDGES)).collect()}
     assert edges[9001]["lang_pred"] == "und" and edges[9005]["lang_pred"] == "en" and len(edges) == 6
 
@@ -167,6 +168,11 @@ def test_raking_meets_marginals(spark):
     assert abs(tokens["lang", "fr"] / total - 0.5) < 0.1
     assert mixing.mix(docs(spark, [])).count() == 0
     assert mixing.mix(docs(spark, rows)).columns == docs(spark, rows).columns
+    # Rows of one id are drawn by the probability of their own cell.
+    twins = [(i, "one two three four", "fr", "a") for i in range(200)] + [(i, "one two three four", "en", "b") for i in range(200)]
+    goal = {"lang": {"fr": 0.9, "en": 0.1}, "source": {"a": 0.9, "b": 0.1}}
+    drawn = [r["lang"] for r in mixing.mix(docs(spark, twins), goal).collect()]
+    assert drawn.count("fr") == 200 and 5 <= drawn.count("en") <= 45
 
 
 def test_secret_scan_removes_false_positives(spark):
@@ -178,5 +184,10 @@ def test_secret_scan_removes_false_positives(spark):
     assert got[got["doc_id"] < 100]["is_secret"].all() and not got[got["doc_id"] >= 100]["is_secret"].any()
     clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs(spark, rows)).collect()}
     assert clean[0] == 'some plain words here token = "[SECRET]" and more' and clean[100] == dict((d, t) for d, t, *_ in rows)[100]
+    text = rows[0][1]
+    twins = [*rows, (0, "an entirely other text of the same id, long enough to reach the span of a secret in it", "en", "s"), (None, text, "en", "s"), (None, "harmless", "en", "s")]
+    both = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"]) for r in secret_scan.redact(docs(spark, twins)).collect() if r["doc_id"] in (0, None))
+    masked = 'some plain words here token = "[SECRET]" and more'
+    assert both == sorted([(0, masked), (0, twins[-3][1]), (-1, masked), (-1, "harmless")])
     none = secret_scan.secrets(docs(spark, EDGES))
     assert none.count() == 0
