@@ -560,6 +560,46 @@ def q_reward_batches(spark, sf):
         F.max(F.size("k_input_ids")).alias("width_k"), F.first("return_loss").alias("return_loss"))
 
 
+REWARD_MAX = 256
+
+
+def _reward_sql(split: str) -> str:
+    """The reward stage's rows of one split: pairs of its questions, both sides within the limit, batched and padded side by side."""
+    side = lambda x: f"regexp_extract_all({SQL_Q} || question || {SQL_A} || response_{x}, '{TOKEN_PATTERN}')"
+    width = lambda x: f"CAST(((max(len(t_{x})) OVER (PARTITION BY shard, batch_id) + {PAD_MULTIPLE - 1}) // {PAD_MULTIPLE}) * {PAD_MULTIPLE} AS INTEGER) AS w_{x}"
+    out = lambda x: (f"array_to_string(t_{x}, ' ') || repeat(' {PAD_TOKEN}', w_{x} - len(t_{x})) AS input_ids_{x}, "
+                     f"rtrim(repeat('1 ', len(t_{x})) || repeat('0 ', w_{x} - len(t_{x}))) AS attention_mask_{x}")
+    return SQL_QA_PAIRS_TEXT + f""",
+qs AS (SELECT qid, {SPLIT_CASE} AS split FROM ({sql_positions('(SELECT DISTINCT qid FROM qa_answers)', 'qid')})),
+sides AS (SELECT p.qid, p.pair_no, {side('j')} AS t_j, {side('k')} AS t_k FROM pairs_text p JOIN qs ON qs.qid = p.qid WHERE qs.split = '{split}'),
+src AS (SELECT * FROM sides WHERE len(t_j) <= {REWARD_MAX} AND len(t_k) <= {REWARD_MAX}),""" + sql_batches("src", ["qid", "pair_no"]) + f""",
+wide AS (SELECT *, {width('j')}, {width('k')} FROM batched)
+SELECT qid, pair_no, shard, batch_id, pos, {out('j')}, {out('k')} FROM wide"""
+
+
+def _reward_dataset(spark, sf, split: str):
+    pairs = _qa_pairs_with_text(spark, sf)
+    questions = S.split_exact(_qa_src(spark, sf).select("qid").distinct(), "qid", SEED).filter(F.col("split") == split).select("qid")
+    p = pairs.join(questions, "qid").select("qid", "pair_no", PR.qa_text("question", "response_j").alias("text_j"), PR.qa_text("question", "response_k").alias("text_k"))
+    p = PR.filter_both_within(p, "text_j", "text_k", REWARD_MAX)
+    p = materialize(p, "reward-rows")  # counted and batched
+    b = B.assign_batches(p, ["qid", "pair_no"], BATCH, B.shard_count(p, SHARD_ROWS), SEED)
+    b = b.withColumn("ids_j", tokens("text_j")).withColumn("ids_k", tokens("text_k"))
+    b = B.pad_batch(B.pad_batch(b, "ids_j", PAD_TOKEN, multiple=PAD_MULTIPLE, prefix="j_"), "ids_k", PAD_TOKEN, multiple=PAD_MULTIPLE, prefix="k_")
+    text = lambda c: F.array_join(F.col(c).cast("array<string>"), " ")
+    return b.select("qid", "pair_no", "shard", "batch_id", "pos", *(text(f"{x}_{c}").alias(f"{c}_{x}") for x in "jk" for c in ("input_ids", "attention_mask")))
+
+
+@register("reward_train", _reward_sql("reward"))
+def q_reward_train(spark, sf):
+    return _reward_dataset(spark, sf, "reward")
+
+
+@register("reward_evaluation", _reward_sql("evaluation"))
+def q_reward_evaluation(spark, sf):
+    return _reward_dataset(spark, sf, "evaluation")
+
+
 # ---------------------------------------------------------------- scoring and metrics
 
 REWARD_BASELINE = 2.0
@@ -680,7 +720,7 @@ def q_code_language(spark, sf):
 # ---------------------------------------------------------------- shards and sinks (K1-K5)
 
 from prefdata.operators import shards as SH  # noqa: E402
-from prefdata.session import scratch_path  # noqa: E402
+from prefdata.session import materialize, scratch_path  # noqa: E402
 from prefdata.sources import sinks as SK  # noqa: E402
 
 SHARD_BYTES_Q = 256 << 10
