@@ -12,8 +12,12 @@ there is no total order, so:
 * the reward metric (X3) is an event-time windowed average with a watermark,
   append mode.
 
-Every query writes to a Parquet sink with a checkpoint, both under the shared
-``spark.checkpoint.dir`` folder, so a restarted driver resumes exactly once.
+The keyed shuffle buffer and the packer are in :mod:`prefdata.streaming.stateful`.
+
+Every query writes to a Parquet sink with a checkpoint.  Where the caller names
+their folder (``root``), a later run on it goes on where the last one stopped,
+and the sink's log keeps each micro-batch exactly once; without a name they lie
+in a new folder under ``spark.checkpoint.dir`` and the run is for itself.
 """
 
 from __future__ import annotations
@@ -82,9 +86,13 @@ def windowed_rewards(events: DataFrame, ts: str = "ts", value: str = "value", gr
 
 
 def run_to_table(spark: SparkSession, df: DataFrame, name: str, output_mode: str = "append",
-                 partition_by: list[str] | None = None) -> DataFrame:
-    """Run a stream over everything available (``availableNow``) into a Parquet sink; read it back."""
-    root = scratch_path(spark, name)
+                 partition_by: list[str] | None = None, root: str | None = None) -> DataFrame:
+    """Run a stream over everything available (``availableNow``) into a Parquet sink; read it back.
+
+    ``root`` holds ``data`` and ``checkpoint``; a run on a ``root`` that has them
+    takes only what arrived since and adds to the data, also after a driver was lost.
+    """
+    root = root or scratch_path(spark, name)
     w = (df.writeStream.format("parquet").outputMode(output_mode)
          .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/data")
          .trigger(availableNow=True))
