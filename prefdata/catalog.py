@@ -877,3 +877,184 @@ def q_stream_holdout(spark, sf):
     s = _stream(spark, sf, "events").select(
         "event_id", ST.hash_holdout("event_id", STREAM_HOLDOUT, SEED, HOLDOUT_RESOLUTION).alias("part"))
     return ST.run_to_table(spark, s, "stream-holdout")
+
+
+# ---------------------------------------------------------------- stateful streams, subwords, files
+
+import os  # noqa: E402
+
+from prefdata.operators import subword as SW  # noqa: E402
+from prefdata.sources.positions import FilePositions  # noqa: E402
+from prefdata.streaming import stateful as SF  # noqa: E402
+
+STREAM_SHARDS, SHUFFLE_BUFFER = 8, 32
+ARRIVING_ROWS = 50_000
+
+
+def _arriving(spark, docs):
+    """Stand-in input: ``docs`` as files that arrive one after the other in the order of ``doc_id``."""
+    path = scratch_path(spark, "arriving")
+    low, high, n = docs.agg(F.coalesce(F.min("doc_id"), F.lit(0)), F.coalesce(F.max("doc_id"), F.lit(0)), F.count(F.lit(1))).first()
+    files = max(4, n // ARRIVING_ROWS)
+    cuts = [low + (high + 1 - low) * i // files for i in range(files + 1)]
+    for lo, hi in zip(cuts, cuts[1:]):
+        docs.filter((F.col("doc_id") >= lo) & (F.col("doc_id") < hi)).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+SQL_STREAM_SHARD = f"CAST({sql_hnum(sql_h(SEED, 'doc_id'))} % {STREAM_SHARDS} AS INTEGER) AS shard"
+
+
+@register("stream_shuffle", f"""WITH RECURSIVE src AS (
+  SELECT doc_id, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS n FROM (SELECT doc_id, {SQL_STREAM_SHARD} FROM documents)),
+walk AS (
+  SELECT shard, CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS held, CAST(NULL AS BIGINT) AS emitted FROM (SELECT DISTINCT shard FROM src)
+  UNION ALL
+  SELECT shard, n + 1,
+         CASE WHEN n < {SHUFFLE_BUFFER} THEN list_append(held, doc_id)
+              ELSE list_concat(list_append(list_slice(held, 1, j), doc_id), list_slice(held, j + 2, {SHUFFLE_BUFFER})) END,
+         CASE WHEN n < {SHUFFLE_BUFFER} THEN NULL ELSE held[j + 1] END
+  FROM (SELECT w.*, s.doc_id, {sql_hnum(sql_h(SEED, 'w.shard', 'w.n'))} % {SHUFFLE_BUFFER} AS j
+        FROM walk w JOIN src s ON s.shard = w.shard AND s.n = w.n)),
+last AS (SELECT shard, n, held FROM walk QUALIFY row_number() OVER (PARTITION BY shard ORDER BY n DESC) = 1),
+rest AS (SELECT shard, n - len(held) AS first, unnest(held) AS doc_id, unnest(range(len(held))) AS slot FROM last)
+SELECT shard, n - 1 - {SHUFFLE_BUFFER} AS pos, emitted AS doc_id FROM walk WHERE emitted IS NOT NULL
+UNION ALL
+SELECT shard, first + row_number() OVER (PARTITION BY shard ORDER BY {sql_h(SEED, 'shard', "'end'", 'slot')}, slot) - 1 AS pos, doc_id FROM rest""")
+def q_stream_shuffle(spark, sf):
+    """O2: documents through the shuffle buffer of a stream, one micro-batch per file; what is held at the end comes last."""
+    docs = table(spark, sf, "documents", spread_scan=False).select("doc_id")
+    root = scratch_path(spark, "stream-shuffle")
+    stream = ST.read_stream(spark, _arriving(spark, docs), docs.schema, 1)
+    out = ST.run_to_table(spark, SF.buffered_shuffle(stream, "doc_id", ["doc_id"], STREAM_SHARDS, SHUFFLE_BUFFER, SEED), "shuffle", root=root)
+    every = out.unionByName(SF.held_rows(spark, f"{root}/checkpoint", SEED))
+    return SF.rows_of(every, docs.schema).select("shard", "pos", "doc_id")
+
+
+@register("stream_pack", f"""WITH dt AS (SELECT doc_id, {SQL_STREAM_SHARD}, list_append(regexp_extract_all(coalesce(text, ''), '{TOKEN_PATTERN}'), '{EOS_TOKEN}') AS toks FROM documents),
+w AS (SELECT *, len(toks) AS sz, CAST(coalesce(sum(len(toks)) OVER (PARTITION BY shard ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS off FROM dt),
+c AS (SELECT shard, off, sz, toks, unnest(range(off // {PACK_L}, (off + sz - 1) // {PACK_L} + 1)) AS chunk FROM w),
+p AS (SELECT shard, chunk, greatest(chunk * {PACK_L}, off) AS lo,
+             list_slice(toks, greatest(chunk * {PACK_L}, off) - off + 1, least((chunk + 1) * {PACK_L}, off + sz) - off) AS piece FROM c),
+b AS (SELECT shard, CAST(chunk AS BIGINT) AS chunk, flatten(list(piece ORDER BY lo)) AS ids FROM p GROUP BY shard, chunk)
+SELECT shard, chunk, array_to_string(ids, ' ') AS block FROM b WHERE len(ids) = {PACK_L}""")
+def q_stream_pack(spark, sf):
+    """S4 -> T12: documents of a stream packed into full blocks; a shard's unfinished block is carried from batch to batch."""
+    docs = table(spark, sf, "documents", spread_scan=False).select("doc_id", "text")
+    stream = ST.read_stream(spark, _arriving(spark, docs), docs.schema, 1)
+    stream = stream.select("doc_id", F.concat(tokens(F.coalesce("text", F.lit(""))), F.array(F.lit(EOS_TOKEN))).alias("toks"))
+    out = ST.run_to_table(spark, SF.pack_stream(stream, "doc_id", ["doc_id"], "toks", PACK_L, STREAM_SHARDS, SEED), "stream-pack")
+    return out.select("shard", "chunk", F.array_join("input_ids", " ").alias("block"))
+
+
+#: A public byte-level vocabulary; another file of the form is named by this variable.
+VOCABULARY_FILE = os.environ.get("PREFDATA_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
+
+
+@register("subword_decode", "SELECT doc_id, text FROM documents")
+def q_subword_decode(spark, sf):
+    """Every text to subword ids and back."""
+    sub = SW.Subwords(spark, VOCABULARY_FILE)
+    return table(spark, sf, "documents").select("doc_id", sub.decode(sub.encode("text", eos=True)).alias("text"))
+
+
+FILE_SHARDS = 5
+
+
+def _positions(spark, sf):
+    path = scratch_path(spark, "positions")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    return FilePositions(spark, path)
+
+
+SQL_FILE_ORDER = "o AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position, count(*) OVER () AS n FROM documents)"
+
+
+@register("file_take_skip", f"""WITH {SQL_FILE_ORDER}
+SELECT CASE WHEN position < n // 10 THEN 'valid' ELSE 'train' END AS part, position, doc_id FROM o""")
+def q_file_take_skip(spark, sf):
+    """L1/L2: the first tenth of the rows as they lie in the files, and the rest."""
+    files = _positions(spark, sf)
+    n = files.n_rows // 10
+    parts = [rows.select(F.lit(name).alias("part"), "position", "doc_id") for name, rows in (("valid", files.take(n)), ("train", files.skip(n)))]
+    return parts[0].unionByName(parts[1])
+
+
+@register("file_shard", f"""WITH {SQL_FILE_ORDER}, s AS (SELECT *, n // {FILE_SHARDS} AS d, n % {FILE_SHARDS} AS m FROM o)
+SELECT position, doc_id FROM s WHERE position >= 2 * d + least(2, m) AND position < 3 * d + least(3, m)""")
+def q_file_shard(spark, sf):
+    """K2: the third of five contiguous shards in file order; other files are not opened."""
+    return _positions(spark, sf).shard(2, FILE_SHARDS).select("position", "doc_id")
+
+
+@register("published_shards", f"""WITH x AS ({SQL_SHARD_ROWS}), k AS (SELECT split AS s, max(shard) + 1 AS n FROM x GROUP BY 1),
+o AS ({sql_positions('documents', 'doc_id')})
+SELECT x.split, printf('train-%05d-of-%05d.parquet', shard, k.n) AS name,
+       row_number() OVER (PARTITION BY x.split, shard ORDER BY o.pos) - 1 AS place, x.doc_id
+FROM x JOIN k ON k.s = x.split JOIN o ON o.doc_id = x.doc_id""")
+def q_published_shards(spark, sf):
+    """K1-K4: shards as named files; split, name and place as the files themselves give them."""
+    path = scratch_path(spark, "published")
+    SK.publish_shards(SH.split_and_shard(table(spark, sf, "documents"), "doc_id", SEED, SHARD_BYTES_Q, keep_order=True), path, order_by=S.ORDER_COL)
+    return SK.read_published(spark, path).select("split", "name", "place", "doc_id")
+
+
+TOPIC_KINDS = ("src0", "src1", "src2")
+
+
+@register("topic_schemas", """SELECT qid, topic, CAST(unnest(range(len(lines))) AS INTEGER) AS aid, question,
+  CASE WHEN topic = 'src1' THEN CAST(strlen(unnest(lines)) AS DOUBLE) / 2 ELSE CAST(strlen(unnest(lines)) AS DOUBLE) END AS pm_score,
+  CASE WHEN topic = 'src2' THEN lang END AS author, unnest(lines) AS text
+FROM (SELECT doc_id AS qid, source AS topic, lang, string_split(text, chr(10)) AS lines,
+             CASE WHEN source <> 'src1' THEN lang END AS question FROM documents WHERE source IN ('src0', 'src1', 'src2'))""")
+def q_topic_schemas(spark, sf):
+    """Topics written with integer, fractional and signed answers, one of them without a question, read as one table."""
+    root = scratch_path(spark, "topic-schemas")
+    docs = table(spark, sf, "documents").filter(F.col("source").isin(*TOPIC_KINDS))
+    size = lambda x: F.octet_length(x)
+    answer = {"src0": lambda x: F.struct(size(x).alias("pm_score"), x.alias("text")),
+              "src1": lambda x: F.struct((size(x) / 2).alias("pm_score"), x.alias("text")),
+              "src2": lambda x: F.struct(x.alias("text"), size(x).cast("long").alias("pm_score"), F.col("lang").alias("author"))}
+    for topic in TOPIC_KINDS:
+        cols = [F.col("doc_id").alias("qid"), F.transform(F.split("text", "\n", -1), answer[topic]).alias("answers")]
+        cols += [F.col("lang").alias("question")] if topic != "src1" else []
+        SK.publish_shards(docs.filter(F.col("source") == topic).select(*cols, F.lit(f"{topic}.site").alias("split"), F.lit(0).alias("shard")), f"{root}/{topic}")
+    both = TB.read_topics_reconciled(spark, f"{root}/{{{','.join(TOPIC_KINDS)}}}/data", *TOPIC_KINDS, site_suffix=".site")
+    flat = both.select("qid", "topic", "question", F.posexplode("answers").alias("aid", "a"))
+    return flat.select("qid", "topic", "aid", "question", F.col("a.pm_score").alias("pm_score"), F.col("a.author").alias("author"), F.col("a.text").alias("text"))
+
+
+SCORE_TOKENS = 40
+SQL_CUT = f"""CASE WHEN len(regexp_extract_all(text, '{TOKEN_PATTERN}')) > {SCORE_TOKENS}
+  THEN array_to_string(list_slice(regexp_extract_all(text, '{TOKEN_PATTERN}'), 1, {SCORE_TOKENS}), ' ') ELSE text END"""
+
+
+@register("score_truncated", f"SELECT conv_id, turn, {sql_score('t')} AS score FROM (SELECT conv_id, turn, {SQL_CUT} AS t FROM conversations)")
+def q_score_truncated(spark, sf):
+    """Scores of texts cut to the model's length."""
+    return table(spark, sf, "conversations").select("conv_id", "turn", M.scorer(max_tokens=SCORE_TOKENS)(F.col("text")).alias("score"))
+
+
+def _lines_of(rows):
+    out = rows.assign(line=rows["text"].str.split("\n")).explode("line").dropna(subset=["line"])
+    return out.assign(n_chars=out["line"].str.len().astype("int64"))[["doc_id", "line", "n_chars"]]
+
+
+@register("batched_map", """SELECT doc_id, line, length(line) AS n_chars
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)""")
+def q_batched_map(spark, sf):
+    """A map over batches of exactly 1000 rows that returns more rows than it gets."""
+    return M.map_batches(table(spark, sf, "documents").select("doc_id", "text"), _lines_of, "doc_id long, line string, n_chars long")
+
+
+EVAL_STEPS = M.eval_steps(10 * EVAL_EVERY, EVAL_EVERY)
+
+
+@register("eval_first_step", _with(FX.SQL_SCORES) + f"""SELECT CAST(list_extract({EVAL_STEPS}, CAST(pair_id % {len(EVAL_STEPS)} AS BIGINT) + 1) AS INTEGER) AS step,
+  count(*) AS n, {SQL_LOSS} AS loss, {SQL_ACC} AS accuracy FROM scores GROUP BY 1""")
+def q_eval_first_step(spark, sf):
+    """M5: evaluations after the first step and at every 500th."""
+    steps = F.array(*[F.lit(s) for s in EVAL_STEPS])
+    s = FX.scores(spark, sf).withColumn("step", F.element_at(steps, (F.col("pair_id") % len(EVAL_STEPS) + 1).cast("int")))
+    return M.pair_metrics(s, ["step"])

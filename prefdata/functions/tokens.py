@@ -40,6 +40,12 @@ def token_count(text) -> Column:
     return F.size(tokens(text))
 
 
+def first_tokens(text, n: int) -> Column:
+    """The first ``n`` tokens joined by one space; a text of no more than ``n`` stays as it is."""
+    toks = tokens(text)
+    return F.when(F.size(toks) > n, F.array_join(F.slice(toks, 1, n), " ")).otherwise(_col(text))
+
+
 def append_token(ids, token) -> Column:
     """``ids + [token]``."""
     return F.concat(_col(ids), F.array(F.lit(token) if not isinstance(token, Column) else token))

@@ -12,9 +12,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from prefdata.functions.tokens import first_tokens
 
 
 def text_stat_scorer() -> Callable[[list[str]], list[float]]:
@@ -23,8 +27,11 @@ def text_stat_scorer() -> Callable[[list[str]], list[float]]:
 
 
 def scorer(factory: Callable[[], Callable[[list[str]], list[float]]] = text_stat_scorer,
-           batch_size: int = 16) -> Callable[[Column], Column]:
-    """A Column function ``text -> double`` running ``factory()`` once per task, ``batch_size`` texts per call."""
+           batch_size: int = 16, max_tokens: int | None = None) -> Callable[[Column], Column]:
+    """A Column function ``text -> double`` running ``factory()`` once per task, ``batch_size`` texts per call.
+
+    With ``max_tokens`` the model sees that many tokens of a longer text; the cut is native and comes before the transfer to Python.
+    """
 
     @F.pandas_udf(T.DoubleType())
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -36,7 +43,7 @@ def scorer(factory: Callable[[], Callable[[list[str]], list[float]]] = text_stat
                 out.extend(model(vals[i:i + batch_size]))
             yield pd.Series(out, dtype="float64")
 
-    return score
+    return score if max_tokens is None else lambda text: score(first_tokens(text, max_tokens))
 
 
 def score_pair(df: DataFrame, text_j: str, text_k: str, fn: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -45,14 +52,39 @@ def score_pair(df: DataFrame, text_j: str, text_k: str, fn: Callable[[Column], C
     return df.withColumn("r_j", fn(F.col(text_j))).withColumn("r_k", fn(F.col(text_k)))
 
 
-def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema) -> DataFrame:
-    """A batched map whose output may have more or fewer rows than its input."""
+def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema, batch_size: int = 1000) -> DataFrame:
+    """A batched map whose output may have more or fewer rows than its input.
+
+    ``fn`` gets exactly ``batch_size`` consecutive rows of a partition (fewer in
+    its last call), whatever the size of the Arrow batches they come in.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in rebatched(batches, batch_size):
+            out = fn(rows.to_pandas())
+            yield from pa.Table.from_pandas(out, target, preserve_index=False).to_batches()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield fn(b)
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    target = to_arrow_schema(schema)
+    return df.mapInArrow(run, schema)
 
-    return df.mapInPandas(run, schema)
+
+def rebatched(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """The rows of ``batches`` in tables of exactly ``size`` rows, the last one shorter; slices are not copied."""
+    held, n = [], 0
+    for b in batches:
+        at = 0
+        while n + b.num_rows - at >= size:
+            held.append(b.slice(at, size - n))
+            at += size - n
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+        if at < b.num_rows:
+            held.append(b.slice(at))
+            n += b.num_rows - at
+    if n:
+        yield pa.Table.from_batches(held)
 
 
 def baseline_shift(score, baseline: float = 0.0) -> Column:
@@ -82,6 +114,11 @@ def pair_metrics(df: DataFrame, group: list[str] | None = None, r_j: str = "r_j"
     return df.groupBy(*group).agg(*aggs) if group else df.agg(*aggs)
 
 
+def eval_steps(last_step: int, every: int) -> list[int]:
+    """M5: the steps at which an evaluation runs: the first and every ``every``-th."""
+    return sorted({1, *range(every, last_step + 1, every)}) if last_step > 0 else []
+
+
 def reward_stats(df: DataFrame, reward: str, group: list[str], digits: int = 6) -> DataFrame:
     """M4: per-step reward statistics (mean, population std, min, max)."""
     r = F.col(reward)

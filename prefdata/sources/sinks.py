@@ -13,12 +13,15 @@ what comes before the sink is computed once.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefdata.operators.shards import row_bytes
 
 MANIFEST = "_manifest"
+STAGING, PLAN, PUBLISHED = "_staging", "_plan", "_published"
 
 
 def shard_name(shard, n_shards) -> F.Column:
@@ -51,3 +54,81 @@ def write_sharded(df: DataFrame, path: str, split: str = "split", shard: str = "
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/{MANIFEST}")
+
+
+def _file_system(spark: SparkSession, path: str):
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), to_path
+
+
+def stage_shards(df: DataFrame, path: str, split: str = "split", shard: str = "shard", order_by: str | None = None) -> None:
+    """First phase of :func:`publish_shards`: tasks write one file per shard under a staging folder, then the plan of names is committed.
+
+    A plan that is there is kept: the phase was done before.  A path that holds published data is refused (K5).
+    """
+    spark, root = df.sparkSession, path.rstrip("/")
+    fs, to_path = _file_system(spark, root)
+    if fs.exists(to_path(f"{root}/{PUBLISHED}")):
+        raise FileExistsError(f"{root} holds published shards")
+    if fs.exists(to_path(f"{root}/{PLAN}/_SUCCESS")):
+        return
+    if fs.exists(to_path(f"{root}/data")):
+        raise FileExistsError(f"{root}/data exists")
+    rows = df.repartition(split, shard)
+    if order_by:
+        rows = rows.sortWithinPartitions(split, shard, order_by).drop(order_by)
+    # One task holds a shard, so a shard is one file; an unfinished staging of a lost driver is written again.
+    rows.write.mode("overwrite").option("maxRecordsPerFile", 0).partitionBy(split, shard).parquet(f"{root}/{STAGING}")
+    staged = spark.read.parquet(f"{root}/{STAGING}")
+    files = staged.groupBy(split, shard).agg(F.count(F.lit(1)).alias("rows"), F.min("_metadata.file_path").alias("staged"),
+                                             F.count_distinct("_metadata.file_path").alias("files"))
+    n = files.groupBy(split).agg((F.max(shard) + 1).alias("n_shards"))
+    plan = files.join(n, split).withColumn("name", F.concat(shard_name(F.col(shard), F.col("n_shards")), F.lit(".parquet")))
+    plan.select(split, shard, "rows", "staged", "files", "name").write.mode("overwrite").parquet(f"{root}/{PLAN}")
+
+
+def rename_shards(spark: SparkSession, path: str, split: str = "split", threads: int = 16) -> None:
+    """Second phase: move every staged file to ``data/<split>/<name>``.
+
+    Safe to repeat: a file that is at its name already is done.  The plan has one row per shard.
+    """
+    root = path.rstrip("/")
+    fs, to_path = _file_system(spark, root)
+    plan = read_plan(spark, root).collect()
+    for r in plan:
+        if r["files"] != 1:
+            raise RuntimeError(f"{r['name']} of {r[split]} was staged as {r['files']} files")
+    for name in {r[split] for r in plan}:
+        fs.mkdirs(to_path(f"{root}/data/{name}"))
+
+    def move(r):
+        staged, target = to_path(spark._jvm.java.net.URI(r["staged"])), to_path(f"{root}/data/{r[split]}/{r['name']}")
+        if fs.exists(target):
+            return
+        if not fs.rename(staged, target) and not fs.exists(target):
+            raise RuntimeError(f"could not move {r['staged']} to {target.toString()}")
+    with ThreadPoolExecutor(threads) as pool:
+        list(pool.map(move, plan))
+    fs.create(to_path(f"{root}/{PUBLISHED}"), True).close()
+
+
+def publish_shards(df: DataFrame, path: str, split: str = "split", shard: str = "shard", order_by: str | None = None) -> DataFrame:
+    """K3/K4/K5: every shard as ``data/<split>/train-iiiii-of-nnnnn.parquet``; returns the plan of names and row counts.
+
+    Two phases: tasks write under temporary names, the driver renames by the
+    committed plan.  After a crash at any point the same call finishes the work.
+    """
+    stage_shards(df, path, split, shard, order_by)
+    rename_shards(df.sparkSession, path, split)
+    return read_plan(df.sparkSession, path)
+
+
+def read_plan(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path.rstrip('/')}/{PLAN}")
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all published files with ``split``, ``name`` and ``place`` (row of the file), taken from the files themselves."""
+    where = F.split("_metadata.file_path", "/")
+    return spark.read.parquet(f"{path.rstrip('/')}/data/*/*.parquet").select(
+        "*", F.element_at(where, -2).alias("split"), F.element_at(where, -1).alias("name"), F.col("_metadata.row_index").alias("place"))

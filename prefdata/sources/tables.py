@@ -9,8 +9,9 @@ the split prunes directories instead of listing them by hand.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -58,6 +59,65 @@ def read_topics(spark: SparkSession, root: str, *topics: str, site_suffix: str =
     return df.withColumn("topic", topic)
 
 
+#: Numbers from narrow to wide; two of them meet in the wider one.
+NUMBERS = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType())
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds the values of both: wider numbers, all fields of structs (first ``a``'s), and so on inside arrays.
+
+    An integer of more than 16 bits and a float meet in a double.  Types that only a conversion to text could join raise.
+    """
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(common_type(a.elementType, b.elementType), True)
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        other = {f.name: f.dataType for f in b.fields}
+        fields = [T.StructField(f.name, common_type(f.dataType, other.pop(f.name, T.NullType())), True) for f in a.fields]
+        return T.StructType(fields + [T.StructField(n, t, True) for n, t in other.items()])
+    if a in NUMBERS and b in NUMBERS:
+        low, high = sorted((NUMBERS.index(a), NUMBERS.index(b)))
+        return T.DoubleType() if low in (2, 3) and high == 4 or low == 3 and high == 5 else NUMBERS[high]
+    raise TypeError(f"no common type of {a.simpleString()} and {b.simpleString()}")
+
+
+def conform(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``value`` as the wider type: missing fields are null, null structs and arrays stay null."""
+    if have == want:
+        return value
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        return F.transform(value, lambda x: conform(x, have.elementType, want.elementType))
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        fields = {f.name: f.dataType for f in have.fields}
+        out = F.struct(*[(conform(value.getField(f.name), fields[f.name], f.dataType) if f.name in fields
+                          else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields])
+        return F.when(value.isNull(), F.lit(None)).otherwise(out)
+    return value.cast(want)
+
+
+def read_topics_reconciled(spark: SparkSession, root: str, *topics: str, site_suffix: str = ".stackexchange.com") -> DataFrame:
+    """S1/S2 for topics whose files differ: one table of the common schema with a ``topic`` column.
+
+    The parts of one topic share their schema, which a footer gives; topics may
+    add, lack or widen columns and fields at any depth, inside arrays too.  Each
+    topic stays a scan of its own columns, so filters and pruning reach its files.
+    """
+    scans = [spark.read.parquet(*topic_paths(root, t, site_suffix=site_suffix)) for t in topics]
+    want = scans[0].schema
+    for scan in scans[1:]:
+        want = common_type(want, scan.schema)
+    out = None
+    for topic, scan in zip(topics, scans):
+        have = {f.name: f.dataType for f in scan.schema.fields}
+        row = scan.select(*[(conform(F.col(f"`{f.name}`"), have[f.name], f.dataType) if f.name in have
+                             else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields], F.lit(topic).alias("topic"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def read_topic_folders(spark: SparkSession, root: str, *topics: str, column: str = "topic") -> DataFrame:
     """S2 for folders ``topic=<name>``: one table; the filter prunes the folders of other topics."""
     return spark.read.parquet(root).filter(F.col(column).isin(*topics))
