@@ -23,14 +23,16 @@ from prefdata.llm.common import SPACE_CHARS, materialize, params_by_key, text_wo
 
 #: Share of a group's rows that the determinant is minimised over, and concentration steps.
 SHARE, STEPS = 0.75, 5
-#: Rows that a language and source need for an estimate of their own (else pooled by language, else over all), and rows any pool needs.
-MIN_GROUP, MIN_POOL = 200, 30
+#: Rows that a language and source need for an estimate of their own: ten for each statistic.
+#: With fewer, their language's estimate over all its rows stands in, and for a language with fewer that of all rows.
+MIN_GROUP = 50
 #: Quantile of the chi-square distribution beyond which a row is an outlier, and that of the reweighting step.
 CUT, REWEIGHT = 0.99999, 0.975
 #: Steps of the grid in one unit; bins per doubling of a squared distance, and their number.
 GRID, BINS_PER_DOUBLING, BINS = 1024, 64, 4096
-#: Standard deviation below which no statistic is taken to vary (in transformed units).
-FLOOR = {"x_length": 0.10, "x_symbols": 0.35, "x_lines": 0.20, "x_repeats": 0.12, "x_upper": 0.45}
+#: Standard deviation below which no statistic is taken to vary (in transformed units).  Each is small enough that
+#: the statistic alone can pass the cutoff: shares of lines or words lie between 0 and 1, and 1 / 0.15 exceeds 5.55.
+FLOOR = {"x_length": 0.10, "x_symbols": 0.35, "x_lines": 0.15, "x_repeats": 0.12, "x_upper": 0.45}
 X = list(FLOOR)
 
 SYMBOLS = "#*$%&|<>"
@@ -129,17 +131,26 @@ def _estimate(sums: DataFrame, factor: float) -> DataFrame:
     return materialize(df.select("gid", *[f"m_{i}" for i in range(p)], *[f"w_{i}_{j}" for i in range(p) for j in range(i + 1)]), "mcd")
 
 
-def _with_groups(stats: DataFrame) -> DataFrame:
-    """Adds gid: language and source where they have MIN_GROUP fitting rows, else language, else all; null if the pool is under MIN_POOL."""
+def _with_groups(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with the group gid they are judged by, fitting rows of every such group).
+
+    gid is language and source where they have MIN_GROUP fitting rows, else the
+    language if it has them, else all rows; null where even those are too few.
+    A language's estimate is fitted on all its rows, also on those of groups
+    with an estimate of their own, and that of all rows likewise.
+    """
     part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit(""))
     keyed = stats.withColumn("gkey", F.concat_ws("\x1f", part("lang"), part("source"))).withColumn("glang", F.concat(part("lang"), F.lit("\x1f*")))
-    sizes = materialize(keyed.filter(~F.col("base_failed")).groupBy("gkey", "glang").agg(F.count("*").alias("gn")), "mcd-groups")
-    pools = sizes.filter(F.col("gn") < MIN_GROUP).groupBy("glang").agg(F.sum("gn").alias("ln"))
-    level = sizes.join(pools, "glang", "left").withColumn(
-        "gid", F.when(F.col("gn") >= MIN_GROUP, F.col("gkey")).when(F.col("ln") >= MIN_GROUP, F.col("glang")).otherwise("*"))
-    big = level.groupBy("gid").agg(F.sum("gn").alias("pool")).filter(F.col("pool") >= MIN_POOL).select("gid")
-    level = materialize(level.join(big, "gid", "left_semi").select("gkey", "gid"), "mcd-levels")
-    return params_by_key(keyed, level, "gkey", F.col("doc_id")).drop("gkey", "glang")
+    sizes = materialize(keyed.groupBy("gkey", "glang").agg(F.count_if(~F.col("base_failed")).alias("gn")), "mcd-groups")
+    pools = sizes.groupBy("glang").agg(F.sum("gn").alias("ln"))
+    every = sizes.agg(F.coalesce(F.sum("gn"), F.lit(0))).first()[0]
+    level = sizes.join(pools, "glang").withColumn(
+        "gid", F.when(F.col("gn") >= MIN_GROUP, F.col("gkey")).when(F.col("ln") >= MIN_GROUP, F.col("glang")).when(F.lit(every >= MIN_GROUP), F.lit("*")))
+    used = level.filter("gid IS NOT NULL").select("gid").distinct()
+    fits = level.select("gkey", F.explode(F.array("gkey", "glang", F.lit("*"))).alias("gid")).join(used, "gid").groupBy("gkey").agg(F.collect_set("gid").alias("fits"))
+    level = materialize(level.select("gkey", "gid").join(fits, "gkey", "left"), "mcd-levels")
+    rows = materialize(params_by_key(keyed, level, "gkey", F.col("doc_id")).drop("gkey", "glang"), "quality-groups")
+    return rows.drop("fits"), rows.filter(~F.col("base_failed")).select("doc_id", F.explode("fits").alias("gid"), *X)
 
 
 def quality_outliers(docs: DataFrame, cut: float = CUT) -> DataFrame:
@@ -147,14 +158,14 @@ def quality_outliers(docs: DataFrame, cut: float = CUT) -> DataFrame:
 
     Null and empty texts have no words and fail the base rule.  Null languages
     and sources are groups of their own; repeated rows count as often as they
-    occur; a group too small to be estimated, alone or pooled, rejects nobody.
+    occur; a group too small to be estimated is judged by its language, else by all
+    rows; a table of fewer than ``MIN_GROUP`` fitting rows rejects nobody.
     Extra columns of ``docs`` are not looked at.
     """
     stats = base_stats(docs.select("doc_id", "text", "lang", "source"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     stats = materialize(stats.withColumn("base_failed", failed).withColumns(_vector()), "quality-stats")
-    rows = materialize(_with_groups(stats), "quality-groups")
-    fit = rows.filter(~F.col("base_failed") & F.col("gid").isNotNull()).select("doc_id", "gid", *X)
+    rows, fit = _with_groups(stats)
 
     quartiles = fit.groupBy("gid").agg(*[F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"p_{i}") for i, x in enumerate(X)])
     spread = lambda i: F.greatest((F.col(f"p_{i}")[2] - F.col(f"p_{i}")[0]) / 1.349, F.lit(FLOOR[X[i]] * GRID))

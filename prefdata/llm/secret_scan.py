@@ -1,7 +1,7 @@
 """Operator 4: secret scan, candidates by pattern and a random forest that removes false positives.
 
 Features of a candidate: its length, how likely its character transitions are
-in the corpus's words, how much of it dictionary words cover, how much it
+in the words of the whole corpus, how much of it dictionary words cover, how much it
 looks like a path, and its neighbouring words.  The forest (Spark ML) is
 trained on labelled findings; where none are given, labelling rules mark the
 clear ones and the forest decides the rest.
@@ -22,27 +22,29 @@ from pyspark.sql import functions as F
 
 from prefdata.llm.common import materialize
 
-#: Labelled findings that the forest is fitted on at most (smallest hashes); documents and words behind the dictionary at most.
-TRAIN_ROWS, DICTIONARY_DOCS, DICTIONARY_WORDS = 20_000, 5_000, 20_000
+#: Labelled findings that the forest is fitted on at most (smallest hashes).
+TRAIN_ROWS = 20_000
+#: Share of all words (of all pairs of letters) that makes one a word of the dictionary (a known transition): so a million of each at most.
+USUAL = 1e-6
 #: Trees, depth and seed of the forest; buckets of the hashed neighbouring words; score from which a finding is a secret.
 TREES, DEPTH, SEED, NEIGHBOURS, THRESHOLD = 24, 6, 42, 16, 0.5
 
 CANDIDATE = re.compile(r"[A-Za-z0-9_/+=.-]{16,}")
 ASSIGNED = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api.?key|access.?key|private.?key|auth|bearer)[\"']?\s*[:=]?\s*[\"']?$")
+#: A value of six or more characters right after a secret's name and ``:`` or ``=``.
+NAMED = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api.?key|access.?key|private.?key|auth)[\"']?\s*[:=]\s*[\"']?([^\s\"'<>,;]{6,})")
 PLACEHOLDER = re.compile(r"(?i)(.)\1{7}|x{4,}|example|0123456789|abcdefgh|your")
 
 
 class Language:
     """Dictionary and character transitions of the corpus's words."""
 
-    def __init__(self, counts: list[tuple[str, int]]):
-        self.words = {w for w, _ in counts if len(w) >= 4}
+    def __init__(self, words: list[str], pairs: list[tuple[str, int]]):
+        self.words = {w for w in words if len(w) >= 4}
         self.longest = max(map(len, self.words), default=0)
-        pairs, singles = Counter(), Counter()
-        for w, c in counts:
-            for a, b in zip(w, w[1:]):
-                pairs[a + b] += c
-                singles[a] += c
+        pairs, singles = dict(pairs), Counter()
+        for p, c in pairs.items():
+            singles[p[0]] += c
         self.log = {p: math.log((c + 0.5) / (singles[p[0]] + 20)) for p, c in pairs.items()}
         self.rare = math.log(0.5 / 1000)
 
@@ -92,21 +94,34 @@ def labelled(token: str, left: str, language: Language) -> int | None:
 
 
 def candidates(text: str | None):
-    """(start, stop, token, left context, right context) of every candidate of a text."""
-    for m in CANDIDATE.finditer(text or ""):
-        token = m.group()
-        if any(c.isdigit() for c in token) or (token.lower() != token and token.upper() != token and not token.istitle()):
-            yield m.start(), m.end(), token, text[max(0, m.start() - 32): m.start()], text[m.end(): m.end() + 32]
+    """(start, stop, token, left context, right context) of every candidate of a text.
 
-
-def dictionary(docs: DataFrame, rows: int = DICTIONARY_DOCS, words: int = DICTIONARY_WORDS) -> Language:
-    """Words of at most ``rows`` documents (smallest hashes of the id), the most frequent ``words`` of them."""
-    known = docs.filter(F.col("text").isNotNull())
-    ids = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    sample = known.join(F.broadcast(ids), "doc_id")  # an integer in at most `rows` rows
-    split = sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{2,24}"), F.lit(0))).alias("w"))
-    top = split.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(words)
-    return Language([(r["w"], r["n"]) for r in top.collect()])
+    Named values of any form, and long tokens with a digit or mixed case outside them.
+    """
+    text = text or ""
+    spans = [(m.start(1), m.start(1) + max(6, len(m.group(1).rstrip(".)")))) for m in NAMED.finditer(text)]
+    named, at = list(spans), 0
+    for m in CANDIDATE.finditer(text):
+        while at < len(named) and named[at][1] <= m.start():
+            at += 1
+        token, free = m.group(), at == len(named) or named[at][0] >= m.end()
+        if free and (any(c.isdigit() for c in token) or (token.lower() != token and token.upper() != token and not token.istitle())):
+            spans.append(m.span())
+    for start, stop in sorted(spans):
+        yield start, stop, text[start:stop], text[max(0, start - 32): start], text[stop: stop + 32]
+
+
+def dictionary(docs: DataFrame, usual: float = USUAL) -> Language:
+    """Words and transitions of letters counted over all documents; those that make up ``usual`` of all or more are known."""
+    split = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{2,24}"), F.lit(0))).alias("w"))
+    words = materialize(split.groupBy("w").agg(F.count("*").alias("n")), "secrets-words")
+    pairs = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring("w", i, F.lit(2)))).alias("w"), "n")
+    pairs = materialize(pairs.groupBy("w").agg(F.sum("n").alias("n")), "secrets-pairs")
+
+    def known(counts):
+        total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        return [(r["w"], r["n"]) for r in counts.filter(F.col("n") >= usual * total).collect()]
+    return Language([w for w, _ in known(words)], known(pairs))
 
 
 FOUND = "doc_id long, start int, stop int, token_sha256 string, label int, x array<double>"
@@ -119,7 +134,10 @@ def findings(docs: DataFrame, language: Language) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("token_sha256", pa.string()),
                         ("label", pa.int32()), ("x", pa.list_(pa.float64()))])
 
+    shipped = docs.sparkSession.sparkContext.broadcast(language)
+
     def find(batches):
+        language = shipped.value
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
