@@ -26,9 +26,12 @@ from prefdata.llm.common import materialize
 TRAIN_ROWS = 20_000
 #: Share of all words (of all pairs of letters) that makes one a word of the dictionary (a known transition): so a million of each at most.
 USUAL = 1e-6
+#: Different words that a task holds before it passes their counts on.
+WORDS_HELD = 200_000
 #: Trees, depth and seed of the forest; buckets of the hashed neighbouring words; score from which a finding is a secret.
 TREES, DEPTH, SEED, NEIGHBOURS, THRESHOLD = 24, 6, 42, 16, 0.5
 
+WORD = re.compile(r"[^\W\d_]{2,24}")
 CANDIDATE = re.compile(r"[A-Za-z0-9_/+=.-]{16,}")
 ASSIGNED = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api.?key|access.?key|private.?key|auth|bearer)[\"']?\s*[:=]?\s*[\"']?$")
 #: A value of six or more characters right after a secret's name and ``:`` or ``=``.
@@ -111,10 +114,27 @@ def candidates(text: str | None):
         yield start, stop, text[start:stop], text[max(0, start - 32): start], text[stop: stop + 32]
 
 
+def _count_words(batches):
+    """(text) -> (w, n): words of a task's texts, added up in a table that is passed on when it is full."""
+    held = Counter()
+
+    def out():
+        full = pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["w", "n"])
+        held.clear()
+        return full
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            held.update(WORD.findall((text or "").lower()))
+            if len(held) >= WORDS_HELD:
+                yield out()
+    if held:
+        yield out()
+
+
 def dictionary(docs: DataFrame, usual: float = USUAL) -> Language:
     """Words and transitions of letters counted over all documents; those that make up ``usual`` of all or more are known."""
-    split = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{2,24}"), F.lit(0))).alias("w"))
-    words = materialize(split.groupBy("w").agg(F.count("*").alias("n")), "secrets-words")
+    counted = docs.select("text").mapInArrow(_count_words, "w string, n long")
+    words = materialize(counted.groupBy("w").agg(F.sum("n").alias("n")), "secrets-words")
     pairs = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring("w", i, F.lit(2)))).alias("w"), "n")
     pairs = materialize(pairs.groupBy("w").agg(F.sum("n").alias("n")), "secrets-pairs")
 
