@@ -902,6 +902,15 @@ def _arriving(spark, docs):
     return path
 
 
+@register("stream_rewards_closed", f"""SELECT CAST(floor(epoch(ts) / {STREAM_WINDOW_SECONDS}) * {STREAM_WINDOW_SECONDS} AS BIGINT) AS window_start, event_type,
+  count(*) AS n, round(avg(value), 6) AS mean_value FROM events GROUP BY 1, 2""")
+def q_stream_rewards_closed(spark, sf):
+    """X3 to the end of the stream: emitted windows and those still open."""
+    root = scratch_path(spark, "stream-rewards-closed")
+    out = ST.run_to_table(spark, ST.windowed_rewards(_stream(spark, sf, "events"), window="1 day", watermark="1 hour"), "rewards", root=root)
+    return out.unionByName(ST.open_windows(spark, f"{root}/checkpoint"))
+
+
 SQL_STREAM_SHARD = f"CAST({sql_hnum(sql_h(SEED, 'doc_id'))} % {STREAM_SHARDS} AS INTEGER) AS shard"
 
 

@@ -85,6 +85,19 @@ def windowed_rewards(events: DataFrame, ts: str = "ts", value: str = "value", gr
     return agg.select(F.unix_seconds(F.col("w.start")).alias("window_start"), group, "n", "mean_value")
 
 
+def open_windows(spark: SparkSession, checkpoint: str, group: str = "event_type", digits: int = 6) -> DataFrame:
+    """X3, closing pass: the windows that :func:`windowed_rewards` still holds, as rows of its result.
+
+    For the end of a stream: append mode emits a window only once the watermark
+    has passed it.  The state is read, not changed, so a later run goes on.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    # Spark names both counters ``count`` (all rows, and rows with a value): by place, then.
+    held = state.select("key.window", f"key.{group}", F.col("value").cast("struct<n: long, total: double, valued: long>").alias("v"))
+    return held.select(F.unix_seconds("window.start").alias("window_start"), group, F.col("v.n").alias("n"),
+                       F.round(F.try_divide("v.total", "v.valued"), digits).alias("mean_value"))
+
+
 def run_to_table(spark: SparkSession, df: DataFrame, name: str, output_mode: str = "append",
                  partition_by: list[str] | None = None, root: str | None = None) -> DataFrame:
     """Run a stream over everything available (``availableNow``) into a Parquet sink; read it back.

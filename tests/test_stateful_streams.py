@@ -95,3 +95,20 @@ def test_a_run_on_the_same_folder_takes_only_new_rows(spark):
         events.filter(part).write.mode("append").parquet(path)
         out = ST.run_to_table(spark, split(), "t", partition_by=["split"], root=root)
         assert total is None or (out.count() == total == out.select("event_id").distinct().count())
+
+
+def test_windows_over_a_restart_and_the_closing_pass(spark):
+    events = TB.table(spark, SF001, "events").select("ts", "event_type", F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"))
+    path, root = scratch_path(spark, "t-in"), scratch_path(spark, "t-windows")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(low + (high - low) / 2)
+    for part in (F.col("ts") < middle, F.col("ts") >= middle):
+        events.filter(part).coalesce(1).write.mode("append").parquet(path)
+        out = ST.run_to_table(spark, ST.windowed_rewards(ST.read_stream(spark, path, events.schema)), "t", root=root)
+    rest = ST.open_windows(spark, f"{root}/checkpoint")
+    assert rest.count() and out.join(rest, ["window_start", "event_type"]).isEmpty()
+    day = F.unix_seconds(F.date_trunc("day", ST.ntz_to_utc("ts")))
+    want = events.groupBy(day.alias("window_start"), "event_type").agg(F.count("*").alias("n"), F.round(F.avg("value"), 5).alias("mean_value"))
+    got = out.unionByName(rest).withColumn("mean_value", F.round("mean_value", 5))
+    rows = lambda d: sorted(tuple(r) for r in d.collect())
+    assert rows(got) == rows(want)
