@@ -19,7 +19,8 @@ never enumerated.  It is indexed instead:
   in a draw without replacement (all pairs when ``NP <= 10``);
 * members of a class are numbered by ``(h(seed, qid, aid), aid)``.
 
-Only the per-class table (one row per question and score) and ``k`` draws per
+A question of up to ``SMALL_QUESTION`` answers is drawn in one group.  Of larger
+ones only the per-class table (one row per question and score) and ``k`` draws per
 question are joined; answers are touched once to number members of the
 classes that were drawn.  Numbering inside a class is salted by hash prefix
 (:func:`rank_in_class`), so a question or class holding a third of all rows is
@@ -38,6 +39,8 @@ from prefdata.session import materialize
 MAX_PAIRS = 10
 # Largest number of rows one task numbers inside a class; bigger classes are salted.
 RANK_TARGET = 500_000
+# Most answers of a question that are drawn in one group, and most ids of larger questions that are broadcast.
+SMALL_QUESTION, BROADCAST_QUESTIONS = 1000, 1_000_000
 
 
 def drop_null_scores(answers: DataFrame, score: str = "score") -> DataFrame:
@@ -145,19 +148,22 @@ def pair_space(answers: DataFrame, qid: str = "qid", score: str = "score") -> Da
     )
 
 
-def _draws(classes: DataFrame, qid: str, k: int, seed) -> DataFrame:
-    # The best class of each question (above = 0) carries the question's pair count: no aggregate needed.
-    q = classes.filter((F.col("above") == 0) & (F.col("np") > 0)).select(qid, "np")
-    q = q.withColumn("k", F.least(F.col("np"), F.lit(k)))
-    # Floyd's k-subset: the i-th draw is uniform over [0, np - k + i]; an index already taken gives way to the top one.
+def _taken(qid: str, seed) -> Column:
+    """Floyd's k-subset of ``np`` pairs: the i-th draw is uniform over [0, np - k + i]; an index already taken gives way to the top one."""
     def draw(taken, i):
         top = F.col("np") - F.col("k") + i
         t = hnum(h(seed, F.lit("draw"), qid, i)) % (top + 1)
         return F.concat(taken, F.array(F.when(F.array_contains(taken, t), top).otherwise(t)))
 
     steps = F.sequence(F.lit(0).cast("long"), F.col("k") - 1)
-    taken = F.aggregate(steps, F.array().cast("array<bigint>"), draw)
-    return q.select(qid, F.posexplode(taken).alias("i", "idx")).select(qid, F.col("i").cast("long").alias("i"), "idx")
+    return F.aggregate(steps, F.array().cast("array<bigint>"), draw)
+
+
+def _draws(classes: DataFrame, qid: str, k: int, seed) -> DataFrame:
+    # The best class of each question (above = 0) carries the question's pair count: no aggregate needed.
+    q = classes.filter((F.col("above") == 0) & (F.col("np") > 0)).select(qid, "np")
+    q = q.withColumn("k", F.least(F.col("np"), F.lit(k)))
+    return q.select(qid, F.posexplode(_taken(qid, seed)).alias("i", "idx")).select(qid, F.col("i").cast("long").alias("i"), "idx")
 
 
 def unrank(draws: DataFrame, classes: DataFrame, qid: str, score: str) -> DataFrame:
@@ -207,16 +213,60 @@ def rank_in_class(answers: DataFrame, classes: DataFrame, qid: str, aid: str, sc
     return small.unionByName(big).drop("_d", "_h")
 
 
+def _sample_small(a: DataFrame, k: int, seed, qid: str, aid: str, score: str) -> DataFrame:
+    """:func:`sample_pairs` of questions with up to ``SMALL_QUESTION`` answers: one shuffle of the answers, all else inside it.
+
+    In the order (score desc, member) the answer at place ``p`` is the worse
+    side of ``above`` pairs, one with each of the places before its class, so
+    it occupies the pair indices ``[first, first + above)`` and index ``idx``
+    names the better answer at place ``idx - first``.
+    """
+    w = Window.partitionBy(qid).orderBy(F.col(score).desc(), "_h", aid)
+    x = a.repartition(qid).withColumn("_h", h(seed, qid, aid)).withColumn("_p", F.row_number().over(w) - 1).drop("_h")
+    x = x.withColumn("_above", (F.rank().over(Window.partitionBy(qid).orderBy(F.col(score).desc())) - 1).cast("long"))
+    one = F.struct("_p", "_above", F.col(score).alias("score"), F.col(aid).alias("aid"))
+    q = x.groupBy(qid).agg(F.sum("_above").alias("np"), F.sort_array(F.collect_list(one)).alias("_a")).filter("np > 0")
+    q = q.withColumn("k", F.least(F.col("np"), F.lit(k)))
+    q = q.select(qid, "_a", F.posexplode(_taken(qid, seed)).alias("_i", "idx"))
+    # The last place whose pairs begin at or before idx and are some.
+    start = F.struct(F.lit(0).cast("long").alias("first"), F.lit(None).cast("int").alias("p"), F.lit(None).cast("long").alias("from"))
+
+    def walk(s, e):
+        mine = (s["first"] <= F.col("idx")) & (F.col("idx") < s["first"] + e["_above"])
+        return F.struct((s["first"] + e["_above"]).alias("first"), F.when(mine, e["_p"]).otherwise(s["p"]).alias("p"),
+                        F.when(mine, s["first"]).otherwise(s["from"]).alias("from"))
+    q = q.withColumn("_w", F.aggregate("_a", start, walk))
+    q = q.select(qid, F.col("_i").cast("long").alias("pair_no"), F.get("_a", (F.col("idx") - F.col("_w.from")).cast("int")).alias("_j"),
+                 F.get("_a", F.col("_w.p")).alias("_k"))
+    return q.select(qid, "pair_no", F.col("_j.aid").alias("aid_j"), F.col("_j.score").alias("score_j"),
+                    F.col("_k.aid").alias("aid_k"), F.col("_k.score").alias("score_k"))
+
+
 def sample_pairs(answers: DataFrame, k: int = MAX_PAIRS, seed=42, qid: str = "qid", aid: str = "aid",
                  score: str = "score") -> DataFrame:
     """J1 + O6: up to ``k`` distinct (better, worse) pairs per question, ids only.
 
     Output: ``qid, pair_no, aid_j, score_j, aid_k, score_k`` (``j`` better).
+    Questions of up to ``SMALL_QUESTION`` answers are drawn where their answers
+    meet (:func:`_sample_small`); larger ones by their class table.
+    """
+    a = drop_null_scores(answers.select(qid, aid, score), score).filter(F.col(qid).isNotNull())
+    large = materialize(a.groupBy(qid).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > SMALL_QUESTION).select(qid), "large-questions")
+    n = large.count()
+    if not n:
+        return _sample_small(a, k, seed, qid, aid, score)
+    large = F.broadcast(large) if n <= BROADCAST_QUESTIONS else large
+    small = _sample_small(a.join(large, qid, "left_anti"), k, seed, qid, aid, score)
+    return small.unionByName(_sample_large(a.join(large, qid, "left_semi"), k, seed, qid, aid, score))
+
+
+def _sample_large(a: DataFrame, k: int, seed, qid: str, aid: str, score: str) -> DataFrame:
+    """:func:`sample_pairs` of questions of any size, by classes.
+
     The class table and the draws (one row per question and score, ``k`` rows
     per question) are written once to the shared checkpoint folder, which cuts
     their lineage and keeps them from being recomputed in every branch.
     """
-    a = drop_null_scores(answers.select(qid, aid, score), score)
     sums, largest = _classes(a, qid, score, None, None)
     classes = materialize(sums, "pair-classes")
     picks = materialize(unrank(_draws(classes, qid, k, seed), classes, qid, score), "pair-picks")

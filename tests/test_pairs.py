@@ -123,3 +123,20 @@ def test_only_drawn_answers_are_cleaned(spark):
     out = P.attach_texts(pairs, answers, questions, clean=F.trim).collect()
     assert len(out) == 10
     assert all(r["response_j"] == f"t{r['aid_j']}" and r["response_k"] == f"t{r['aid_k']}" and r["question"] == "q" for r in out)
+
+
+def test_small_questions_are_drawn_in_one_shuffle_like_large_ones(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    rows = [(rng.randrange(60), "a%d" % i, float(rng.randrange(4))) for i in range(900)]
+    rows += [(100, "b%d" % i, float(i % 7)) for i in range(300)] + [(200, "c", 1.0), (201, None, 1.0), (201, "d", 2.0), (None, "e", 1.0), (None, "f", 2.0), (202, "g", None)]
+    answers = spark.createDataFrame(rows, "qid long, aid string, score double").repartition(5)
+    small = P.sample_pairs(answers, 10)
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # the answers move once, their pairs do not
+    got = sorted(map(tuple, small.collect()), key=repr)
+    for limit in (0, 100):  # all questions by their class table; the largest by it
+        monkeypatch.setattr(P, "SMALL_QUESTION", limit)
+        assert sorted(map(tuple, P.sample_pairs(answers, 10).collect()), key=repr) == got
+    assert {r[0] for r in got} == set(range(60)) | {100, 201}
