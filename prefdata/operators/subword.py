@@ -19,6 +19,8 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from prefdata.operators.vocab import cuts_of, sizes_of
+
 #: Fixed value: how byte-level vocabularies of this family cut a text into words before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -52,9 +54,15 @@ class Subwords:
         @F.arrow_udf(T.ArrayType(T.IntegerType()))
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             own = tiktoken.Encoding("own", pat_str=shipped.value[0], mergeable_ranks=shipped.value[1], special_tokens={})
+            end = [eos_id] if eos else []
+
+            def part(texts):
+                ids = [np.array(own.encode_ordinary(t) + end, np.int32) if t is not None else np.empty(0, np.int32) for t in (x.as_py() for x in texts)]
+                offsets = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+                return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)), mask=texts.is_null())
             for texts in batches:
-                lists = [None if t is None else own.encode_ordinary(t) for t in texts.to_pylist()]
-                yield pa.array([x if x is None or not eos else x + [eos_id] for x in lists], pa.list_(pa.int32()))
+                size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                yield pa.concat_arrays([part(texts.slice(i, j - i)) for i, j in cuts_of(size)])
 
         return run(F.col(text) if isinstance(text, str) else text)
 
@@ -68,12 +76,15 @@ class Subwords:
             for piece, rank in shipped.value[1].items():
                 pieces[rank] = piece
             values = pa.array([*pieces, b""], pa.binary())
-            for lists in batches:
-                n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+
+            def part(lists, n):
                 at = pc.fill_null(lists.flatten(), size).to_numpy(zero_copy_only=False)
                 flat = values.take(pa.array(np.where((at >= 0) & (at < size), at, size)))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
-                yield pc.binary_join(pa.ListArray.from_arrays(offsets, flat, mask=lists.is_null()), b"")
+                return pc.binary_join(pa.ListArray.from_arrays(offsets, flat, mask=lists.is_null()), b"")
+            for lists in batches:
+                n = sizes_of(lists)
+                yield pa.concat_arrays([part(lists.slice(i, j - i), n[i:j]) for i, j in cuts_of(n)])
 
         return F.make_valid_utf8(run(F.col(ids) if isinstance(ids, str) else ids).cast("string"))
 

@@ -24,6 +24,19 @@ from prefdata.functions.tokens import EOS_ID, SPECIAL_TOKENS, append_token, toke
 from prefdata.session import materialize
 
 MAX_VOCAB = 32000
+# Tokens, ids or bytes of a batch that a Python task spreads out at a time (a batch has thousands of texts).
+SLICE = 1 << 18
+
+
+def cuts_of(sizes: np.ndarray, most: int | None = None) -> list[tuple[int, int]]:
+    """Consecutive (from, to) rows whose sizes sum to about ``most`` (``SLICE``); a larger row is alone."""
+    at = (np.cumsum(sizes, dtype=np.int64) - sizes) // (SLICE if most is None else most)
+    edges = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1, [len(sizes)]]).tolist()
+    return list(zip(edges, edges[1:]))
+
+
+def sizes_of(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def build_vocab(df: DataFrame, text: str, max_size: int = MAX_VOCAB) -> DataFrame:
@@ -75,8 +88,8 @@ def encoder(vocab: DataFrame, max_size: int = MAX_VOCAB) -> Callable[[Column], C
         lookup = table.value
         keys = pa.array(list(lookup.keys()), type=pa.string())
         ids = np.array([*lookup.values(), 0], np.int32)
-        for arr in lists:
-            size = pc.fill_null(pc.list_value_length(arr), 0).to_numpy(zero_copy_only=False)
+
+        def part(arr, size):
             flat = arr.flatten()
             at = pc.fill_null(pc.index_in(flat, value_set=keys), -1).to_numpy(zero_copy_only=False)
             unknown = at < 0
@@ -91,7 +104,10 @@ def encoder(vocab: DataFrame, max_size: int = MAX_VOCAB) -> Callable[[Column], C
             before = np.cumsum(n_bytes) - n_bytes
             out[np.repeat(start[:-1][unknown] + 1 - before, n_bytes) + np.arange(len(spelled))] = max_size + spelled.astype(np.int32)
             offsets = start[np.concatenate([[0], np.cumsum(size)])]
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out), mask=arr.is_null())
+            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out), mask=arr.is_null())
+        for arr in lists:
+            size = sizes_of(arr)
+            yield pa.concat_arrays([part(arr.slice(i, j - i), size[i:j]) for i, j in cuts_of(size)])
 
     return lambda text: encode(tokens(text))
 
@@ -112,11 +128,14 @@ def decoder(vocab: DataFrame, max_size: int = MAX_VOCAB, skip_special: bool = Tr
     def decode(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
         keys = pa.array(list(table.value.keys()), pa.int32())
         values = pa.array(list(table.value.values()), pa.binary())
-        for arr in lists:
-            size = pc.fill_null(pc.list_value_length(arr), 0).to_numpy(zero_copy_only=False)
+
+        def part(arr, size):
             flat = pc.fill_null(pc.take(values, pc.index_in(arr.flatten().cast(pa.int32()), value_set=keys)), b"")
             offsets = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
-            yield pc.binary_join(pa.ListArray.from_arrays(offsets, flat, mask=arr.is_null()), b"")
+            return pc.binary_join(pa.ListArray.from_arrays(offsets, flat, mask=arr.is_null()), b"")
+        for arr in lists:
+            size = sizes_of(arr)
+            yield pa.concat_arrays([part(arr.slice(i, j - i), size[i:j]) for i, j in cuts_of(size)])
 
     return lambda ids: F.ltrim(F.make_valid_utf8(decode(ids).cast("string")))
 

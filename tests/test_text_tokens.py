@@ -133,3 +133,17 @@ def test_markdown_native_subset(spark):
 def test_utf8_repair_inserts_replacement_char(spark):
     r = spark.range(1).select(TX.repair_utf8(F.unhex(F.lit("61FF62")).cast("string")).alias("s")).first()
     assert r["s"] == "a\ufffdb"
+
+
+def test_batches_are_spread_out_in_slices_without_a_change():
+    import numpy as np
+
+    from prefdata.operators.vocab import cuts_of
+
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(0, 50, 500)
+    sizes[77] = 1000
+    cuts = cuts_of(sizes, 100)
+    assert cuts[0][0] == 0 and cuts[-1][1] == 500 and all(a[1] == b[0] for a, b in zip(cuts, cuts[1:]))
+    assert all(sizes[i:j].sum() <= 150 or 77 in range(i, j) for i, j in cuts) and len(cuts) > 50
+    assert cuts_of(np.zeros(0, np.int64)) == [(0, 0)] and cuts_of(np.zeros(5, np.int64)) == [(0, 5)]
