@@ -205,6 +205,24 @@ def test_toxicity_on_rows_not_seen(spark):
     assert sorted((r[0] or -1, round(r[2], 6)) for r in again) == sorted((r[0] or -1, round(r[2], 6)) for r in out)
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    rows, labels = toxic_corpus(1500)
+    rows = [(d, f"{t} only{d}", lang) for d, t, lang in rows]
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4), spark.createDataFrame(labels, "doc_id long, toxic int")
+    net, cuts = toxicity.load(toxicity.train(docs, marks, rows=300))  # four shards
+    crc = {d: zlib.crc32(str(d).encode()) for d, _, _ in rows}
+    learned = [t for d, t, _ in rows if crc[d] % 5 and crc[d] % 8]
+    assert len(learned) > 900
+    for t in learned:
+        assert np.abs(net.table[toxicity._rows(toxicity.word_codes(t)).reshape(-1)]).sum(1).min() > 0
+    assert "" in cuts
+    unseen = [(toxicity.word_codes(t), truth) for (d, t, _), (_, truth) in zip(rows, labels) if crc[d] % 5 == 0]
+    right = (net.score([t for t, _ in unseen]) >= 0.5) == np.array([y for _, y in unseen])
+    assert len(unseen) > 200 and right.mean() >= 0.95
+    z, y = np.array([-2.0, 1.0, 1.0, -2.0, 1.0]), np.array([0.0, 1, 1, 1, 0])
+    assert toxicity.calibrate(z, y) == pytest.approx(toxicity.calibrate(np.array([-2.0, -2, 1, 1]), np.array([0.0, 1, 0, 1]), np.array([1.0, 1, 1, 2])))
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
