@@ -892,13 +892,19 @@ ARRIVING_ROWS = 50_000
 
 
 def _arriving(spark, docs):
-    """Stand-in input: ``docs`` as files that arrive one after the other in the order of ``doc_id``."""
+    """Stand-in input: ``docs`` as files that arrive one after the other in the order of ``doc_id``.
+
+    One pass writes all files; a stream takes files by their time, so each gets a later one than the file before.
+    """
     path = scratch_path(spark, "arriving")
     low, high, n = docs.agg(F.coalesce(F.min("doc_id"), F.lit(0)), F.coalesce(F.max("doc_id"), F.lit(0)), F.count(F.lit(1))).first()
     files = max(4, n // ARRIVING_ROWS)
-    cuts = [low + (high + 1 - low) * i // files for i in range(files + 1)]
-    for lo, hi in zip(cuts, cuts[1:]):
-        docs.filter((F.col("doc_id") >= lo) & (F.col("doc_id") < hi)).coalesce(1).write.mode("append").parquet(path)
+    share = (F.col("doc_id").cast("double") - F.lit(float(low))) / F.lit(float(high + 1 - low))
+    number = F.least(F.floor(share * files), F.lit(files - 1)).cast("int")
+    rows = docs.filter(F.col("doc_id").isNotNull()).withColumn("_file", number).repartition(files, "_file").sortWithinPartitions("_file")
+    # Small row groups: a file's rows are read by many tasks.
+    rows.write.partitionBy("_file").option("parquet.block.size", 8 << 20).option("maxRecordsPerFile", 0).parquet(path)
+    SK.arrival_times(spark, [f"{path}/_file={i}" for i in range(files)])
     return path
 
 

@@ -61,6 +61,18 @@ def _file_system(spark: SparkSession, path: str):
     return to_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), to_path
 
 
+def arrival_times(spark: SparkSession, folders: list[str]) -> None:
+    """Give the files of every folder a time a second after those of the folder before; a file system that keeps no such times raises."""
+    fs, to_path = _file_system(spark, folders[0])
+    now = spark._jvm.java.lang.System.currentTimeMillis() // 1000 * 1000
+    for i, folder in enumerate(folders):
+        for f in fs.listStatus(to_path(folder)) if fs.exists(to_path(folder)) else []:
+            at = now + (i - len(folders)) * 1000
+            fs.setTimes(f.getPath(), at, -1)
+            if fs.getFileStatus(f.getPath()).getModificationTime() != at:
+                raise RuntimeError(f"{folder}: the file system does not keep the order of arrival")
+
+
 def stage_shards(df: DataFrame, path: str, split: str = "split", shard: str = "shard", order_by: str | None = None) -> None:
     """First phase of :func:`publish_shards`: tasks write one file per shard under a staging folder, then the plan of names is committed.
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,13 +93,11 @@ def pack_stream(df: DataFrame, key: str, order: list[str], toks: str, seq_length
 
     def pack(group, frames, state):
         carry, chunk = state.get if state.exists else ([], 0)
-        carry, blocks = list(carry), []
-        for piece in pd.concat(list(frames)).sort_values(order, kind="stable")["toks"]:
-            carry.extend(piece.tolist())
-            full = len(carry) // seq_length * seq_length
-            blocks += [carry[i: i + seq_length] for i in range(0, full, seq_length)]
-            del carry[:full]
-        state.update((carry, chunk + len(blocks)))
+        pieces = pd.concat(list(frames)).sort_values(order, kind="stable")["toks"]
+        flat = np.concatenate([np.array(list(carry), object), *pieces])
+        full = len(flat) // seq_length * seq_length
+        blocks = list(flat[:full].reshape(-1, seq_length))
+        state.update((flat[full:].tolist(), chunk + len(blocks)))
         yield pd.DataFrame({"shard": pd.Series([int(group[0])] * len(blocks), dtype="int32"),
                             "chunk": pd.Series(range(chunk, chunk + len(blocks)), dtype="int64"), "input_ids": pd.Series(blocks, dtype="object")})
 

@@ -112,3 +112,20 @@ def test_windows_over_a_restart_and_the_closing_pass(spark):
     got = out.unionByName(rest).withColumn("mean_value", F.round("mean_value", 5))
     rows = lambda d: sorted(tuple(r) for r in d.collect())
     assert rows(got) == rows(want)
+
+
+def test_arriving_files_are_written_in_one_pass_and_come_in_order(spark):
+    from prefdata import catalog
+    from prefdata.streaming import streams as ST
+
+    docs = spark.createDataFrame([(i * 7 % 1000, "t%d" % i) for i in range(1000)] + [(None, "none")], "doc_id long, text string").repartition(6)
+    path = catalog._arriving(spark, docs)
+    files = [r[0] for r in spark.read.parquet(path).selectExpr("_metadata.file_path").distinct().collect()]
+    assert len(files) == 4
+    seen = []
+
+    def note(batch, _):
+        seen.append(sorted(r["doc_id"] for r in batch.collect()))
+    q = ST.read_stream(spark, path, docs.schema, 1).writeStream.foreachBatch(note).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert len(seen) == 4 and sum(seen, []) == list(range(1000))
