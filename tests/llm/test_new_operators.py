@@ -223,6 +223,23 @@ def test_toxicity_learns_from_every_labelled_row(spark):
     assert toxicity.calibrate(z, y) == pytest.approx(toxicity.calibrate(np.array([-2.0, -2, 1, 1]), np.array([0.0, 1, 0, 1]), np.array([1.0, 1, 1, 2])))
 
 
+def test_toxicity_deals_its_rows_to_shards_once(spark, monkeypatch):
+    rows, labels = toxic_corpus(600)
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4), spark.createDataFrame(labels, "doc_id long, toxic int")
+    dealt, read = toxicity._shards, []
+
+    def spied(learned, shards):
+        read.append((dealt(learned, shards), learned))
+        return read[-1][0]
+    monkeypatch.setattr(toxicity, "_shards", spied)
+    toxicity.train(docs, marks, rows=200)  # three shards
+    (held, learned), = read
+    got = held.collect()
+    assert len(got) == 3 and sorted((x["h"], x["t"], x["toxic"], bytes(x["codes"])) for r in got for x in r["rows"]) == sorted(
+        (x["h"], x["t"], x["toxic"], bytes(x["codes"])) for x in learned.collect())
+    assert len(held.inputFiles()) == 3 and "Exchange" not in held._jdf.queryExecution().toString()
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
