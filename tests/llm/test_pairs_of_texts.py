@@ -168,6 +168,75 @@ def test_recall_of_every_edit_without_regard_to_candidates(spark):
         assert len(own) > 100 and found >= least * len(own), (kind, found, len(own))
 
 
+def spoiled(rng, line, share, letters="abcdefghij "):
+    a = list(line)
+    for i in rng.sample(range(len(a)), int(share * len(a))):
+        r = rng.random()
+        a[i] = rng.choice(letters) if r < 0.4 else "" if r < 0.7 else a[i] + rng.choice(letters)
+    return lines.normalised("".join(a))
+
+
+def test_bounds_of_the_distance_keep_every_link():
+    rng = random.Random(5)
+    held = ["".join(rng.choices("abcdefghij \u00e9\u4e2d", k=n)) for n in (1, 3, 5, 9, 30, 63, 64, 65, 70, 128, 140, 200, 300, 700) for _ in range(6)]
+    pairs = [(a, spoiled(rng, a, rng.choice([0.05, 0.15, 0.22, 0.3]))) for a in map(lines.normalised, held) if a]
+    pairs = [(a, b) for a, b in pairs if b] + [(a + " " + b, b) for (a, _), (b, _) in zip(pairs, pairs[1:])]
+    pairs += [(a[k:] + a[:k], a) for a, _ in pairs for k in (len(a) // 10,) if a[k:].strip() and lines.normalised(a[k:] + a[:k])]
+    pairs += [(a, lines.normalised("".join(rng.choices("abcdefghij ", k=len(a)))) or "a") for a, _ in pairs]
+    every = [x for p in pairs for x in p]
+    size = np.array([len(x) for x in every])
+    codes = np.frombuffer("".join(every).encode("utf-32-le"), np.uint32)
+    a, b = np.arange(0, len(every), 2), np.arange(1, len(every), 2)
+    fits = np.abs(size[a] - size[b]) <= lines.allowed(np.maximum(size[a], size[b]), 0.8)
+    a, b = a[fits], b[fits]
+    limit = lines.allowed(np.maximum(size[a], size[b]), 0.8)
+    near = np.array([lines.edit_distance(every[i], every[j], int(d)) <= d for i, j, d in zip(a, b, limit)])
+    over = lines.surely_over(np.unique(codes, return_inverse=True)[1] % 256, size, a, b, limit)
+    assert near.sum() > 60 and (~near).sum() > 30 and not (over & near).any() and over.sum() > 10
+    bits = lines.gram_bits(codes, size, 512)
+    for x, y in ((a, b), (b, a)):
+        gone = np.bitwise_count(bits[:, x] & ~bits[:, y]).sum(0, dtype=np.int64)
+        assert (gone <= lines.BOUND_GRAM * limit)[near].all()
+
+
+def test_tiles_meet_wherever_lengths_fit():
+    counts = [(1, 3), (2, 1), (4, 30), (5, 2), (9, 100), (10, 1), (12, 7), (40, 2)]
+    plan = {size: rest for size, *rest in lines.tile_plan(counts, 8, 0.8)}
+    for s, _ in counts:
+        first, tiles, lo, hi = plan[s]
+        for t, _ in counts:
+            if abs(s - t) <= lines.allowed(max(s, t), 0.8):
+                assert lo <= plan[t][0] and plan[t][0] + plan[t][1] - 1 <= hi
+    assert plan[9][1] == 13 and plan[40][2] == plan[40][0] and lines.tile_plan([], 8, 0.8) == []
+
+
+@pytest.mark.parametrize("least", [24, 256])
+def test_line_dedup_leaves_out_no_link(spark, monkeypatch, least):
+    """Lines with up to a fifth of their characters changed: blocks, radius and shared n-grams lose many of them."""
+    monkeypatch.setattr(lines, "REST_LEAST", least)
+    rng, rows = random.Random(12), []
+    for n in (12, 20, 40, 90, 180, 400):
+        for _ in range(12):
+            a = lines.normalised("".join(rng.choices("abcdefghij ", k=n)))
+            rows += [(len(rows), a), (len(rows) + 1, spoiled(rng, a, 0.2)), (len(rows) + 2, spoiled(rng, a, 0.15))]
+    rows += [(900, None), (901, rows[4][1].upper()), (901, rows[4][1].upper()), (None, rows[50][1])]
+    got = sorted(((r["doc_id"] if r["doc_id"] is not None else -1, r["text"] or "") for r in lines.dedup_lines(frame(spark, rows)).collect()))
+    expected = sorted((-1 if d is None else d, t or "") for d, t in brute_lines(rows))
+    assert got == expected and sum(not t for _, t in expected) > 100
+
+
+def test_packed_entries_are_one_row_for_each_part(spark, monkeypatch):
+    """Blocks of all holes that go to one part travel together, so that more parts do not multiply the rows by the holes."""
+    made = []
+    monkeypatch.setattr(lines, "materialize", lambda df, name: made.append(df) or df if name == "line-buckets" else df)
+    rng = random.Random(1)
+    docs = frame(spark, [(i, " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(12))) for i in range(300)]).coalesce(1)
+    lines._candidates(docs, np.ones(lines.TRIGRAMS, bool), lines.RADIUS, lines.SIMILARITY)
+    packed = spark.createDataFrame([], "x int") if not made else made[0]
+    plan = packed._jdf.queryExecution().optimizedPlan().toString()
+    assert "counts" in plan and "nth" not in plan
+
+
 def test_similar_lines():
     assert lines.edit_distance("kitten", "sitting", 9) == 3 and lines.edit_distance("kitten", "sitting", 2) == 3
     assert lines.edit_distance("", "abc", 9) == 3 and lines.edit_distance("abc", "abc", 0) == 0
