@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,14 +101,14 @@ def _fetch(keys: DataFrame, hcol: str, kcol: str, located: dict[int, tuple[str,
     for p, (b, off) in located.items():
         by_width.setdefault(len(b), {})[p] = (b, off)
     for width, items in by_width.items():
-        buckets = sorted({b for b, _ in items.values()})
-        tags = sorted({f"{b}:{off}" for b, off in items.values()})
+        wanted = pa.table({"_b": [b for b, _ in items.values()], "_r": pa.array([off for _, off in items.values()], pa.int32())})
+        wanted = keys.sparkSession.createDataFrame(wanted)  # a row per cut
         w = Window.partitionBy("_b").orderBy(hcol, kcol)
         rows = (
             keys.withColumn("_b", F.substring(hcol, 1, width))
-            .filter(F.col("_b").isin(buckets))
+            .join(F.broadcast(wanted.select("_b").distinct()), "_b", "left_semi")
             .withColumn("_r", F.row_number().over(w) - 1)
-            .filter(F.concat_ws(":", "_b", F.col("_r").cast("string")).isin(tags))
+            .join(F.broadcast(wanted), ["_b", "_r"])
             .select("_b", "_r", hcol, kcol)
             .collect()
         )

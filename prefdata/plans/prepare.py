@@ -16,7 +16,7 @@ from prefdata.operators.prompts import qa_text
 from prefdata.operators.shards import SHARD_BYTES, shard_splits
 from prefdata.session import materialize
 from prefdata.sources import fixtures as FX
-from prefdata.sources.sinks import write_sharded
+from prefdata.sources.sinks import write_and_read_sharded
 
 
 def plain_clean(c):
@@ -49,21 +49,26 @@ def prepare_threads(threads: DataFrame, seed=42, k: int = P.MAX_PAIRS, clean=htm
     return paired_splits(flat, questions, seed, k, clean=clean)
 
 
-def write_prepared(pairs: DataFrame, path: str, key: str = "pair_key", seed=42, shard_bytes: int = SHARD_BYTES):
+def write_prepared(pairs: DataFrame, path: str, key: str = "pair_key", seed=42, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """K1-K5: contiguous size-based shards per split, written as ``split=/shard=`` folders plus a manifest.
 
     Pairs keep the split of their question; shards are contiguous and sorted in
     the seeded order of ``key`` inside each split.  The pairs are computed once.
     """
+    return write_and_read_prepared(pairs, path, key, seed, shard_bytes)[0]
+
+
+def write_and_read_prepared(pairs: DataFrame, path: str, key: str = "pair_key", seed=42,
+                            shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
+    """:func:`write_prepared`, and the rows as read back from the files."""
     keyed = materialize(pairs.withColumn(key, F.concat_ws("-", "qid", "pair_no")), "prepared")
-    return write_sharded(shard_splits(keyed, key, seed=seed, shard_bytes=shard_bytes), path, order_by=S.ORDER_COL)
+    return write_and_read_sharded(shard_splits(keyed, key, seed=seed, shard_bytes=shard_bytes), path, order_by=S.ORDER_COL)
 
 
 def prepared_threads(spark: SparkSession, threads: DataFrame, path: str, seed=42, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Plan A from nested threads to files and back: every pair with its split, shard, shard name and place in the shard's file."""
-    manifest = write_prepared(prepare_threads(threads, seed), path, seed=seed, shard_bytes=shard_bytes)
-    back = spark.read.parquet(path).withColumn("place", F.col("_metadata.row_index"))
-    return back.join(manifest.select("split", "shard", "name"), ["split", "shard"])
+    manifest, back = write_and_read_prepared(prepare_threads(threads, seed), path, seed=seed, shard_bytes=shard_bytes)
+    return back.withColumn("place", F.col("_metadata.row_index")).join(manifest.select("split", "shard", "name"), ["split", "shard"])
 
 
 def paired_split_counts(spark: SparkSession, sf_dir: str, seed=42) -> DataFrame:

@@ -8,7 +8,11 @@ writes it; ``errorifexists`` refuses an existing target.  Spark names the part
 files itself, so a manifest (split, shard, name, rows, bytes) is written next
 to the data under ``_manifest`` (folders starting with ``_`` are ignored when
 the dataset is read back).  Its statistics are read from the written files, so
-what comes before the sink is computed once.
+what comes before the sink is computed once.  The files are listed once and
+read once for it.  Tasks move their files to the shards' folders themselves:
+were the driver to move them when the job is committed, its time would grow
+with the number of shards.  So files may be there before all are; the manifest
+comes last, and a path without one is not complete.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prefdata.operators.shards import row_bytes
+from prefdata.session import materialize
 
 MANIFEST = "_manifest"
 STAGING, PLAN, PUBLISHED = "_staging", "_plan", "_published"
@@ -35,21 +40,27 @@ def write_sharded(df: DataFrame, path: str, split: str = "split", shard: str = "
 
     ``order_by`` sorts the rows inside each shard (K2) and is not written itself.
     """
+    return write_and_read_sharded(df, path, split, shard, mode, max_records_per_file, order_by)[0]
+
+
+def write_and_read_sharded(df: DataFrame, path: str, split: str = "split", shard: str = "shard", mode: str = "errorifexists",
+                           max_records_per_file: int | None = None, order_by: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """:func:`write_sharded`, and the rows as read back from the files (listed once for both)."""
     rows = df.repartition(split, shard)
     if order_by:
         rows, df = rows.sortWithinPartitions(split, shard, order_by).drop(order_by), df.drop(order_by)
-    w = rows.write.mode(mode).partitionBy(split, shard)
+    w = rows.write.mode(mode).partitionBy(split, shard).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
-    stats = back.groupBy(split, shard).agg(F.count(F.lit(1)).alias("rows"),
-                                           F.sum(row_bytes(back, exclude=(split, shard))).alias("bytes"))
+    stats = materialize(back.groupBy(split, shard).agg(F.count(F.lit(1)).alias("rows"),
+                                                       F.sum(row_bytes(back, exclude=(split, shard))).alias("bytes")), "shard-stats")
     n = stats.groupBy(split).agg(F.max(shard).alias("_max"))
     manifest = stats.join(n, split).withColumn("name", shard_name(F.col(shard), F.col("_max") + 1)).drop("_max")
     target = f"{path.rstrip('/')}/{MANIFEST}"
     manifest.write.mode(mode).parquet(target)
-    return read_manifest(df.sparkSession, path)
+    return read_manifest(df.sparkSession, path), back
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

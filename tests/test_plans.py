@@ -55,6 +55,19 @@ def test_write_prepared_manifest(spark):
         assert keys == sorted(keys, key=lambda k: (R.h(42, k), k))  # contiguous shards, sorted inside
 
 
+def test_prepared_threads_list_the_files_once(spark, monkeypatch):
+    threads = spark.createDataFrame([(i, f"question {i}", [(s, f"answer {i}-{s}") for s in range(4)]) for i in range(30)],
+                                    "qid long, question string, answers array<struct<pm_score:int, text:string>>")
+    path, listed, reader = scratch_path(spark, "t-once"), [], type(spark.read)
+    parquet = reader.parquet
+    monkeypatch.setattr(reader, "parquet", lambda self, *paths, **options: listed.extend(paths) or parquet(self, *paths, **options))
+    rows = PA.prepared_threads(spark, threads, path, shard_bytes=1 << 10).collect()
+    assert listed.count(path) == 1
+    assert len(rows) == 30 * 6 and len({(r["split"], r["name"], r["place"]) for r in rows}) == len(rows)
+    assert {(r["split"], r["name"]): r["rows"] for r in read_manifest(spark, path).collect()} == {
+        k: sum((r["split"], r["name"]) == k for r in rows) for k in {(r["split"], r["name"]) for r in rows}}
+
+
 def test_shards_of_an_empty_table(spark):
     path = scratch_path(spark, "t-empty")
     empty = spark.createDataFrame([], "qid long, pair_no long, question string, split string")

@@ -90,3 +90,13 @@ def test_bucket_rows_of_many_cuts_in_one_pass():
     for b, base, inner in rows:
         assert base == seen and all(th.startswith(b) for th, _ in inner)
         seen += len(inner)
+
+
+def test_cuts_are_no_literals_of_a_plan(spark, monkeypatch):
+    df = _df(spark, 900).withColumn("_o", F.md5(F.concat_ws("-", F.lit("42"), F.col("k").cast("string"))))
+
+    def isin(*_):
+        raise AssertionError("a literal for every cut")
+    monkeypatch.setattr(type(F.col("_o")), "isin", isin)
+    out, _ = cuts.assign_intervals(df, "_o", "k", list(range(9, 900, 9)))
+    assert {r["_interval"]: r["count"] for r in out.groupBy("_interval").count().collect()} == {i: 9 for i in range(100)}
