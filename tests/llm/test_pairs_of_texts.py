@@ -237,6 +237,28 @@ def test_packed_entries_are_one_row_for_each_part(spark, monkeypatch):
     assert "counts" in plan and "nth" not in plan
 
 
+def test_distinct_lines_make_blocks_and_tiles_are_not_shuffled_for_each_pair(spark, monkeypatch):
+    seen, candidates, materialize = {}, lines._candidates, lines.materialize
+    monkeypatch.setattr(lines, "_candidates", lambda docs, *rest: seen.update(texts=docs.count()) or candidates(docs, *rest))
+    monkeypatch.setattr(lines, "materialize", lambda df, name, **options: seen.update({name: df}) or materialize(df, name, **options))
+    text = "the first of all lines here\nanother one with other words\n\nsomething else again, at some length"
+    assert lines.dedup_lines(frame(spark, [(i, text) for i in range(40)])).count() == 40
+    assert seen["texts"] == 3
+    plan = seen["line-rest"]._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+
+
+def test_packed_tiles_come_back_whole():
+    h = np.array([lines.xxhash.xxh64_intdigest(x) for x in ("b", "a é", "c")], np.uint64).view(np.int64)
+    root, place = np.array([h[0], 0, h[0]], np.int64), np.zeros(3, np.int32)
+    names = ["tile", "from", "to", "h", "root", "line"]
+    rows = [lines.pa.RecordBatch.from_arrays([lines.pa.array(x) for x in (place[i:j], place[i:j], place[i:j], h[i:j], root[i:j], ["b", "a é", "c"][i:j])], names=names)
+            for i, j in ((0, 2), (2, 3))]
+    (packed,) = lines._pack_tiles(rows)
+    got = lines._unpacked(packed.column(3)[0].as_buffer())
+    assert sorted(zip(got[2], got[0].tolist(), got[1].tolist())) == sorted(zip(("b", "a é", "c"), h.tolist(), root.tolist()))
+
+
 def test_similar_lines():
     assert lines.edit_distance("kitten", "sitting", 9) == 3 and lines.edit_distance("kitten", "sitting", 2) == 3
     assert lines.edit_distance("", "abc", 9) == 3 and lines.edit_distance("abc", "abc", 0) == 0
