@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from prefdata.session import materialize
 from prefdata.sources.tables import table
 
-__all__ = ["SALTS", "hit_words", "materialize", "null_safe", "params_by_key", "row_key", "shuffle_partitions", "table", "text_words"]
+__all__ = ["SALTS", "cased_hit_words", "hit_words", "lower_ascii", "materialize", "null_safe", "params_by_key", "row_key", "shuffle_partitions", "table", "text_words"]
 
 #: Ways in which the rows of one key are spread in :func:`params_by_key`.
 SALTS = 16
@@ -17,6 +17,8 @@ SALTS = 16
 SPACE = r"[\x20\x09-\x0D]+"
 #: Separators of normalised words (after lower-casing): every ASCII character but digits and letters.
 PUNCT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same before lower-casing.
+CASED_PUNCT = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -41,6 +43,16 @@ def hit_words(text: Column) -> Column:
     return _split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), PUNCT_CHARS, PUNCT)
 
 
+def cased_hit_words(text: Column) -> Column:
+    """The words of :func:`hit_words` as they are written: ``lower_ascii`` of each is the word."""
+    return _split(F.coalesce(text, F.lit("")), PUNCT_CHARS.translate({ord(c): None for c in UPPER}), CASED_PUNCT)
+
+
+def lower_ascii(text: Column) -> Column:
+    """The text with A-Z lower-cased; ``translate`` looks up every character, so only what is not all ASCII goes through it."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Key of a row by its id and text; rows that agree on both share it."""
     return F.xxhash64(F.col(doc_id), F.xxhash64(text))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefdata.llm.common import LOWER, UPPER, hit_words, materialize, row_key
+from prefdata.llm.common import LOWER, UPPER, cased_hit_words, hit_words, lower_ascii, materialize, row_key
 
 #: Words in a window; an item of fewer words is one window.
 WINDOW = 10
@@ -16,11 +16,19 @@ BROADCAST_GRAMS = 500_000
 CHUNK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def _windows(words, length: int):
-    return F.when(F.size(words) >= length, F.transform(
-        F.sequence(F.lit(0), F.size(words) - length),
-        lambda i: F.struct(i.alias("pos"), F.lit(length).alias("len"), F.array_join(F.slice(words, i + 1, length), " ").alias("gram")),
-    )).otherwise(F.array().cast("array<struct<pos:int,len:int,gram:string>>"))
+def _windows(texts: DataFrame, sizes: list[int]) -> DataFrame:
+    """(key, w) -> (key, w, pos, len) for every window of each of the sizes."""
+    # The outer form: for the inner one Spark would split every text once more, to filter out those without a window.
+    spots = F.when(F.size("w") >= sizes[0], F.sequence(F.lit(0), F.size("w") - sizes[0]))
+    places = texts.select("key", "w", F.explode_outer(spots).alias("pos"))
+    if len(sizes) == 1:
+        return places.select("key", "w", "pos", F.lit(sizes[0]).alias("len")).filter("pos IS NOT NULL")
+    return places.select("key", "w", "pos", F.explode(F.array(*map(F.lit, sizes))).alias("len")).filter(F.col("pos") + F.col("len") <= F.size("w"))
+
+
+def _ends(w, pos, size, word):
+    """Hash of a window's first, last and middle word."""
+    return F.xxhash64(size, *[word(F.get(w, i)) for i in (pos, pos + size - 1, pos + F.shiftright(size, 1))])
 
 
 def benchmark_grams(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -35,16 +43,21 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tuple[D
     """(row key, pos, len, gram) of every benchmark window in ``docs``, and the (gram, item) table.
 
     A window's text is the join key itself, so a probe of the hash set that
-    succeeds is already verified word by word.
+    succeeds is already verified word by word.  The text is made only of windows
+    whose first, last and middle word are those of a benchmark window.
     """
     grams = materialize(benchmark_grams(benchmark, window), "grams")
     sizes = {r["len"]: r["n"] for r in grams.groupBy("len").agg(F.countDistinct("gram").alias("n")).collect()}  # window rows at most
-    texts = docs.select(row_key().alias("key"), hit_words(F.col("text")).alias("w")).filter(F.size("w") > 0)
-    windows = F.concat(*[_windows(F.col("w"), n) for n in sorted(sizes)]) if sizes else F.array().cast("array<struct<pos:int,len:int,gram:string>>")
-    scanned = texts.select("key", F.explode(windows).alias("s")).select("key", "s.pos", "s.len", "s.gram")
+    texts = docs.select(row_key().alias("key"), cased_hit_words(F.col("text")).alias("w"))
+    places = _windows(texts, sorted(sizes) or [window])
     known = grams.select("gram").distinct()
     if sum(sizes.values()) <= BROADCAST_GRAMS:
+        ends = grams.select(_ends(F.split("gram", " "), F.lit(0), F.col("len"), lambda x: x).alias("ends")).distinct()
+        places = places.withColumn("ends", _ends(F.col("w"), F.col("pos"), F.col("len"), lower_ascii)).join(F.broadcast(ends), "ends", "left_semi")
         known = F.broadcast(known)
+    gram = lower_ascii(F.array_join(F.slice("w", F.col("pos") + 1, F.col("len")), " "))
+    # Never null, and said so: Spark would test it before the first probe, of every window.
+    scanned = places.select("key", "pos", "len", F.coalesce(gram, F.lit("")).alias("gram"))
     return materialize(scanned.join(known, "gram", "left_semi"), "hits"), grams.select("gram", "item")
 
 
@@ -63,7 +76,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     which = found.select("key", "gram").distinct().join(items, "gram").select("key", "item").distinct()
     which = which.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
     hit = spots.select("key", words.alias("hit_words")).join(which, "key", "left")
-    counted = docs.select("doc_id", row_key().alias("key"), F.size(hit_words(F.col("text"))).cast("long").alias("n_words"))
+    counted = docs.select("doc_id", row_key().alias("key"), F.size(cased_hit_words(F.col("text"))).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
     return counted.join(hit, "key", "left").select(
         "doc_id", "n_words", F.coalesce(F.size("hit_words"), F.lit(0)).cast("long").alias("n_hit"),

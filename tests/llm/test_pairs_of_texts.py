@@ -1,6 +1,7 @@
 """Operators 2, 3 and 10 against brute force, with nulls, empty and repeated rows, and clashing column names."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -281,6 +282,48 @@ def test_contamination_edge_cases(spark):
     assert decontam.contamination(frame(spark, rows).limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("most", [decontam.BROADCAST_GRAMS, 0])
+def test_windows_match_brute_force_in_any_case_and_script(spark, monkeypatch, most):
+    monkeypatch.setattr(decontam, "BROADCAST_GRAMS", most)
+    rng, words = random.Random(4), ["The", "the", "OF", "of", "Straße", "STRASSE", "ΣΟΦΟΣ", "σοφος", "Éa", "éa", "kilo", "\u212Ailo", "中文", "a1", "B", "İx"]
+    held = [[rng.choice(words) for _ in range(rng.choice([1, 2, 3, 9, 10, 14]))] for _ in range(8)]
+    rows = []
+    for i in range(60):
+        text = [rng.choice(words) for _ in range(rng.randint(0, 30))]
+        if i % 2:
+            text[5:5] = [rng.choice([w, w.translate({c: c ^ 32 for c in range(65, 91)})]) for w in rng.choice(held)]
+        rows.append((i, "".join(w + rng.choice([" ", "-", "\n. "]) for w in text)))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(held)], "item_id long, text string")
+    lower = lambda w: "".join(c.lower() if c < "\x80" else c for c in w)
+    item = {i: [lower(w) for w in x] for i, x in enumerate(held)}
+    expected = []
+    for d, text in rows:
+        w = [lower(x) for x in re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text)]
+        hit, found = set(), set()
+        for i, x in item.items():
+            n = min(len(x), 10)
+            for a in range(len(x) - n + 1):
+                at = [p for p in range(len(w) - n + 1) if w[p: p + n] == x[a: a + n]]
+                hit |= {p + k for p in at for k in range(n)}
+                found |= {i} if at else set()
+        expected.append((d, len(w), len(hit), len(found)))
+    got = decontam.contamination(frame(spark, rows), bench).select("doc_id", "n_words", "n_hit", "n_items").collect()
+    assert sorted(map(tuple, got)) == expected and sum(n > 0 for *_, n in expected) > 20
+
+
+def test_texts_of_windows_are_made_after_the_probe_of_their_ends(spark, monkeypatch):
+    """Splitting a text twice and writing out every window were most of the scan's time."""
+    seen, materialize = {}, decontam.materialize
+    monkeypatch.setattr(decontam, "materialize", lambda df, name, **options: seen.update({name: df}) or materialize(df, name, **options))
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven")], "item_id long, text string")
+    decontam.hits(spark.createDataFrame([(1, "one two")], "doc_id long, text string"), bench)
+    plan = seen["hits"]._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    scan = [line for line in plan if "split(" in line and "ends" not in line]
+    made = [k for k, line in enumerate(plan) if "array_join" in line]
+    (probe,) = [k for k, line in enumerate(plan) if "LeftSemi" in line and "ends" in line]
+    assert len(scan) == 1 and made and max(made) < probe
+
+
 SCHEMA_NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
 
 
