@@ -200,6 +200,60 @@ def test_bounds_of_the_distance_keep_every_link():
         assert (gone <= lines.BOUND_GRAM * limit)[near].all()
 
 
+def syllables(rng, n):
+    parts = ["th", "an", "er", "on", "ing", "nd", "re", "ha", "ti", "ou", "st", "the ", "of ", "a ", " ", " "]
+    return lines.normalised("".join(rng.choices(parts, k=n)))
+
+
+@pytest.mark.parametrize("n", [1, 8, 40, 120, 800])
+def test_places_of_ngrams_keep_every_link(n):
+    rng = random.Random(n)
+    x = [syllables(rng, n) or "a" for _ in range(70)]
+    y = [spoiled(rng, a, rng.choice([0.02, 0.1, 0.2, 0.25])) or "a" for a in x] + [a[len(a) // 9:] + a[: len(a) // 9] for a in x[:9]] + [syllables(rng, n) or "a" for _ in range(20)]
+    size = [np.array([len(a) for a in z]) for z in (x, y)]
+    grams = [[lines.gram_classes(np.frombuffer("".join(z).encode("utf-32-le"), np.uint32), s, *kind) for z, s in zip((x, y), size)] for kind in ((3, 4096), (4, 1 << 14))]
+    longest = np.maximum(size[0][:, None], size[1])
+    limit = lines.allowed(longest, 0.8)
+    most = int(limit.max())
+    left, right = (max(most + int(s), 0) // 2 for s in (size[0].max() - size[1].min(), size[1].max() - size[0].min()))
+    far, wide = lines.far_apart(*grams[0], left, right, most), lines.far_apart(*grams[1], left, right, most, 4, 1 << 14)
+    near = np.array([[lines.edit_distance(a, b, int(d)) <= d for b, d in zip(y, row)] for a, row in zip(x, limit)])
+    assert far.shape == near.shape and not ((far | wide) & near).any() and near.sum() > 20
+    assert n < 40 or n > 120 or far.sum() > 0.5 * (~near).sum()
+
+
+def test_places_of_ngrams_leave_few_pairs_to_slower_bounds(monkeypatch):
+    """Common n-grams alone left two fifths of all pairs of long lines to the bounds by pieces."""
+    rng, asked, surely_over = random.Random(3), [], lines.surely_over
+    held = [lines.normalised(syllables(rng, 130)[:250]) for _ in range(300)]
+    held += [spoiled(rng, x, 0.12) for x in held[:40]]
+    kinds = sorted(set(held), key=len)
+    monkeypatch.setattr(lines, "surely_over", lambda classes, size, a, b, limit: asked.append(len(a)) or surely_over(classes, size, a, b, limit))
+    own = {int(np.uint64(xxhash.xxh64_intdigest(x)).view(np.int64)): x for x in kinds}
+
+    def packed(some):
+        rows = lines.pa.RecordBatch.from_arrays([lines.pa.nulls(len(some), lines.pa.int64()), lines.pa.array(some)], names=["root", "line"])
+        sink = lines.pa.BufferOutputStream()
+        with lines.pa.ipc.new_stream(sink, rows.schema) as out:
+            out.write_batch(rows)
+        return sink.getvalue().to_pybytes()
+    for x, y in ((kinds, None), (kinds[::2], kinds[1::2])):
+        del asked[:]
+        pair = lines.pa.RecordBatch.from_arrays([lines.pa.array([packed(x)]), lines.pa.array([y and packed(y)], lines.pa.binary())], names=["data", "other"])
+        edges = [(own[a], own[b]) for out in lines._compare(0.8)([pair]) for a, b in zip(*(c.to_pylist() for c in out.columns))]
+        near = {(a, b) for a in x for b in (y or x) if (y or a < b) and lines.similar(a, b)}
+        label = {k: k for k in kinds}
+        for a, b in near:
+            old = label[b]
+            label.update({k: label[a] for k in kinds if label[k] == old})
+        got = {k: k for k in kinds}
+        for a, b in edges:
+            old = got[b]
+            got.update({k: got[a] for k in kinds if got[k] == old})
+        assert len(near) > 10 and all((got[a] == got[b]) == (label[a] == label[b]) for a in kinds for b in kinds)
+        assert sum(asked) < 0.1 * len(x) * len(y or x)
+
+
 def test_tiles_meet_wherever_lengths_fit():
     counts = [(1, 3), (2, 1), (4, 30), (5, 2), (9, 100), (10, 1), (12, 7), (40, 2)]
     plan = {size: rest for size, *rest in lines.tile_plan(counts, 8, 0.8)}
