@@ -254,6 +254,42 @@ def test_places_of_ngrams_leave_few_pairs_to_slower_bounds(monkeypatch):
         assert sum(asked) < 0.1 * len(x) * len(y or x)
 
 
+def codes_of(some):
+    return np.frombuffer("".join(some).encode("utf-32-le"), np.uint32), np.array([len(x) for x in some])
+
+
+@pytest.mark.parametrize("n, piece", [(1, lines.WHOLE), (8, lines.WHOLE), (40, lines.WHOLE), (120, lines.WHOLE), (120, 96), (500, lines.WHOLE), (500, 96)])
+def test_rare_ngrams_keep_every_link(n, piece):
+    rng = random.Random(n)
+    x = [syllables(rng, n) or "a" for _ in range(70)]
+    y = [spoiled(rng, a, rng.choice([0.02, 0.1, 0.2, 0.25])) or "a" for a in x] + [a[len(a) // 9:] + a[: len(a) // 9] for a in x[:9]] + [syllables(rng, n) or "a" for _ in range(30)]
+    size = [codes_of(z)[1] for z in (x, y)]
+    limit = lines.allowed(np.maximum(size[0][:, None], size[1]), 0.8)
+    near = np.array([[lines.edit_distance(a, b, int(d)) <= d for b, d in zip(y, row)] for a, row in zip(x, limit)])
+    for one, other, linked in ((0, 1, near), (1, 0, near.T)):
+        most, (a, b) = int(limit.max()), (size[one], size[other])
+        left, right = max(most + int(a.max() - b.min()), 0) // 2, max(most + int(b.max() - a.min()), 0) // 2
+        places, upto = lines.Places(*codes_of((x, y)[other])), -(-int(a.max()) // lines.BLOCK)
+        ahead = lines.Ahead(*codes_of((x, y)[one]), places.share(*lines.shifts(left, right, piece)[:2], upto), piece)
+        left_over = np.zeros(linked.shape, bool)
+        for lo in (0, 50):
+            left_over[lines.not_far(ahead, slice(lo, lo + 50), places, left, right, most, upto)] = True
+        assert left_over[:50].sum() + left_over[50:100].sum() == left_over[:100].sum() and not (linked[:100] & ~left_over[:100]).any() and near.sum() > 20
+
+
+def test_rare_ngrams_leave_few_pairs_of_long_lines_to_slower_bounds(monkeypatch):
+    """All n-grams in a row left most pairs of lines of 1,000 characters to the bounds by pieces."""
+    rng, asked, surely_over = random.Random(3), [], lines.surely_over
+    held = sorted({lines.normalised(syllables(rng, 520)[: rng.randint(990, 1010)]) for _ in range(200)})
+    monkeypatch.setattr(lines, "surely_over", lambda classes, size, a, b, limit: asked.append(len(a)) or surely_over(classes, size, a, b, limit))
+    rows = lines.pa.RecordBatch.from_arrays([lines.pa.nulls(len(held), lines.pa.int64()), lines.pa.array(held)], names=["root", "line"])
+    sink = lines.pa.BufferOutputStream()
+    with lines.pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_batch(rows)
+    pair = lines.pa.RecordBatch.from_arrays([lines.pa.array([sink.getvalue().to_pybytes()]), lines.pa.array([None], lines.pa.binary())], names=["data", "other"])
+    assert not sum(x.num_rows for x in lines._compare(0.8)([pair])) and sum(asked) < 0.2 * len(held) ** 2 / 2
+
+
 def test_tiles_meet_wherever_lengths_fit():
     counts = [(1, 3), (2, 1), (4, 30), (5, 2), (9, 100), (10, 1), (12, 7), (40, 2)]
     plan = {size: rest for size, *rest in lines.tile_plan(counts, 8, 0.8)}
