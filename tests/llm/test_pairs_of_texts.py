@@ -278,7 +278,7 @@ def test_rare_ngrams_keep_every_link(n, piece):
 
 
 def test_rare_ngrams_leave_few_pairs_of_long_lines_to_slower_bounds(monkeypatch):
-    """All n-grams in a row left most pairs of lines of 1,000 characters to the bounds by pieces."""
+    """All n-grams in a row left over a fifth of the pairs of these lines to the bounds by pieces."""
     rng, asked, surely_over = random.Random(3), [], lines.surely_over
     held = sorted({lines.normalised(syllables(rng, 520)[: rng.randint(990, 1010)]) for _ in range(200)})
     monkeypatch.setattr(lines, "surely_over", lambda classes, size, a, b, limit: asked.append(len(a)) or surely_over(classes, size, a, b, limit))
